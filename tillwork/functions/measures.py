@@ -115,8 +115,8 @@ def line_discount(gross: Column | str, rate: Column | str) -> Column:
 
 def contained_tax(net: Column | str) -> Column:
     """Tax inside a net price that includes it."""
-    factor = F.lit(TAX_RATE) / F.lit(1 + TAX_RATE)
-    return F.round(_col(net) * factor.cast("decimal(20,18)"), 2).cast(MONEY)
+    # Multiply first: the quotient of the two short literals alone keeps 6 places.
+    return F.round(_col(net) * F.lit(TAX_RATE) / F.lit(1 + TAX_RATE), 2).cast(MONEY)
 
 
 def line_cost(unit_cost: Column | str, qty: Column | str) -> Column:
