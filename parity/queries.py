@@ -457,7 +457,7 @@ DEDUPE_SOURCE = """(SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_qua
 
 
 def order_lines(spark, d) -> DataFrame:
-    return r.table(spark, d, "lineitem").selectExpr(
+    return r.lineitem(spark, d).selectExpr(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
         "l_extendedprice price", "cast(l_shipdate as date) shipped",
     )
@@ -552,7 +552,7 @@ def _(spark, d):
 def _(spark, d):
     days = rollups.store_day(r.sales_lines(spark, d))
     keys = ["date_key", "store_key"]
-    kpi = r.store_kpi(spark, d)
+    kpi = r.store_tickets(spark, d)
     return joins.join_dimension(days, kpi, keys, ["ticket_count", "traffic_estimate"], "left")
 
 
@@ -682,9 +682,8 @@ def _(spark, d):
     dated = attach_calendar(
         dated_store_days(spark, d), "date_value", ("commerce_year", "commerce_month")
     )
-    month = ["commerce_year", "commerce_month"]
     return running.with_running_totals(
-        dated, "net_sales", "store_key", "commerce_year", month, "date_key"
+        dated, "net_sales", "store_key", "commerce_year", "commerce_month", "date_key"
     )
 
 
@@ -714,7 +713,7 @@ def _(spark, d):
     )""",
 )
 def _(spark, d):
-    items = r.table(spark, d, "lineitem").selectExpr(
+    items = r.lineitem(spark, d).selectExpr(
         "cast(l_orderkey as string) txn_id", "l_linenumber line_id", "l_partkey product_key",
         "cast(l_quantity as int) counted", "cast(l_discount as decimal(4,2)) rate",
     )
@@ -774,7 +773,7 @@ STORE_DAY_SPEC = (
 
 def store_day_fact(spark, d, **options) -> DataFrame:
     return star.fact_store_day(
-        r.sales_lines(spark, d), r.stores(spark, d), r.store_kpi(spark, d), **options
+        r.sales_lines(spark, d), r.stores(spark, d), r.store_tickets(spark, d), **options
     )
 
 
@@ -942,7 +941,7 @@ def _(spark, d):
 )
 def _(spark, d):
     base = star.store_day_base(
-        r.sales_lines(spark, d), r.stores(spark, d), r.store_kpi(spark, d)
+        r.sales_lines(spark, d), r.stores(spark, d), r.store_tickets(spark, d)
     )
     return dashboards.store_traffic(spark, base)
 
@@ -1144,7 +1143,7 @@ BALANCES_SQL = """
 @query("layer_balances", BALANCE_SPEC, BALANCES_SQL)
 def _(spark, d):
     daily = r.daily_sales(spark, d)
-    kpi = r.store_kpi(spark, d)
+    kpi = r.store_tickets(spark, d)
     base = star.store_day_base(r.sales_lines(spark, d), r.stores(spark, d), kpi)
     return star.layer_balances(daily, star.fact_sales(daily), base, kpi, r.budget(spark, d))
 

@@ -11,10 +11,32 @@ from tillwork.functions.retail_calendar import attach_calendar, date_key
 from tillwork.operators import joins, rollups
 from tillwork.operators.calendar import calendar_spanning
 from tillwork.operators.running import clamped_balance
+from tillwork.sources.raw import spread_scan
+
+
+# Layouts of the given tables; named, they need no inference job.
+LAYOUTS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": """p_partkey bigint, p_name string, p_brand string, p_type string, p_size int,
+        p_retailprice double""",
+    "orders": """o_orderkey bigint, o_custkey bigint, o_orderstatus string,
+        o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string""",
+    "lineitem": """l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,
+        l_quantity double, l_extendedprice double, l_discount double, l_tax double,
+        l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz""",
+    "events": """event_id bigint, ts timestamp_ntz, user_id bigint, event_type string,
+        value double, props string""",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(LAYOUTS[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
+def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread_scan(table(spark, sf_dir, "lineitem"))
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,7 +44,7 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     rate = F.col("l_discount").cast("decimal(4,2)")
     discount = m.line_discount(gross, rate)
     net = (gross - discount).cast(m.MONEY)
-    return table(spark, sf_dir, "lineitem").select(
+    return lineitem(spark, sf_dir).select(
         F.col("l_orderkey").cast("string").alias("txn_id"),
         F.col("l_linenumber").alias("line_id"),
         F.col("l_shipdate").cast("date").alias("txn_date"),
@@ -53,7 +75,7 @@ def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").selectExpr(
+    return lineitem(spark, sf_dir).selectExpr(
         "cast(l_orderkey as string) txn_id",
         "cast(l_linenumber as string) line_id",
         "cast(cast(l_shipdate as date) as string) txn_date",
@@ -147,11 +169,14 @@ def daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollups.daily_sales(lines(spark, sf_dir))
 
 
-def store_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
+def store_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tickets of lines that were not returned: store days with returns only have none."""
-    sold = lines(spark, sf_dir).where("return_flag <> 'R'")
-    kpi = rollups.store_day_kpi(sold, stores(spark, sf_dir))
-    return kpi.withColumn("traffic_estimate", F.expr("cast(ticket_count * 14 div 10 as int)"))
+    tickets = rollups.store_day_tickets(lines(spark, sf_dir).where("return_flag <> 'R'"))
+    return tickets.withColumn("traffic_estimate", F.expr("cast(ticket_count * 14 div 10 as int)"))
+
+
+def store_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollups.store_day_kpi(store_tickets(spark, sf_dir), stores(spark, sf_dir))
 
 
 def flows(spark: SparkSession, sf_dir: str) -> DataFrame:

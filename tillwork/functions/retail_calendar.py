@@ -48,8 +48,17 @@ def date_key(day: Column | str) -> Column:
 
 
 def day_of_key(key: Column | str) -> Column:
-    """The date behind a YYYYMMDD key; NULL when the key is no valid date."""
-    return F.try_to_date(_col(key).cast("string"), "yyyyMMdd")
+    """The date behind a YYYYMMDD key; NULL when the key is no valid date.
+
+    Arithmetic only: parsing the key as text costs several times as much.
+    """
+    key = _col(key)
+    year, month = (key / 10_000).cast("int"), (key / 100).cast("int") % 100
+    real_month = month.between(1, 12) & year.between(1, 9999)
+    first = F.when(real_month, F.make_date(year, month, F.lit(1)))
+    offset = (key % 100).cast("int") - 1
+    in_month = offset.between(0, F.dayofmonth(F.last_day(first)) - 1)
+    return F.when(in_month, F.date_add(first, offset))
 
 
 def monday_of(day: Column | str) -> Column:
@@ -69,33 +78,33 @@ def commerce_year(day: Column | str) -> Column:
 
 def commerce_week(day: Column | str) -> Column:
     """1..52, or 53 in the years that have a full extra week."""
-    first = monday_of(F.make_date(commerce_year(day), F.lit(1), F.lit(1)))
+    return _week_of(day, commerce_year(day))
+
+
+def _week_of(day: Column | str, year: Column) -> Column:
+    first = monday_of(F.make_date(year, F.lit(1), F.lit(1)))
     return (F.datediff(monday_of(day), first) / 7).cast("int") + 1
 
 
-def _regular_week(day: Column | str) -> Column:
+def _regular(week: Column) -> Column:
     # Zero-based and held at 51: week 53 stays in the last month and quarter,
     # also in leap years that start on a Sunday.
-    return F.least(commerce_week(day), F.lit(4 * QUARTER_WEEKS)) - 1
+    return F.least(week, F.lit(4 * QUARTER_WEEKS)) - 1
 
 
-def commerce_quarter(day: Column | str) -> Column:
-    return (_regular_week(day) / QUARTER_WEEKS).cast("int") + 1
+def quarter_of_week(week: Column) -> Column:
+    return (_regular(week) / QUARTER_WEEKS).cast("int") + 1
 
 
-def commerce_month(day: Column | str) -> Column:
-    slot = _regular_week(day) % QUARTER_WEEKS
+def month_of_week(week: Column) -> Column:
+    slot = _regular(week) % QUARTER_WEEKS
     second, third = MONTH_WEEKS[0], MONTH_WEEKS[0] + MONTH_WEEKS[1]
     in_quarter = F.when(slot < second, 1).when(slot < third, 2).otherwise(3)
-    return (commerce_quarter(day) - 1) * 3 + in_quarter
-
-
-def commerce_period(day: Column | str) -> Column:
-    return F.format_string("%d-%02d", commerce_year(day), commerce_month(day))
+    return (quarter_of_week(week) - 1) * 3 + in_quarter
 
 
-def quarter_week(day: Column | str) -> Column:
-    return commerce_week(day) - (commerce_quarter(day) - 1) * QUARTER_WEEKS
+def commerce_period(year: Column, month: Column) -> Column:
+    return F.concat(year.cast("string"), F.lit("-"), F.lpad(month.cast("string"), 2, "0"))
 
 
 def date_key_sss(day: Column | str) -> Column:
@@ -111,31 +120,35 @@ def day_name(day: Column | str) -> Column:
     return F.element_at(names, F.weekday(_col(day)) + 1)
 
 
-def calendar_expressions(day: Column | str) -> dict[str, Column]:
-    """Every calendar attribute of ``day``, by column name."""
+def calendar_expressions(
+    day: Column | str, columns: tuple[str, ...] = CALENDAR_COLUMNS
+) -> dict[str, Column]:
+    """The chosen calendar attributes of ``day``, by column name."""
     day = _col(day)
-    return {
-        "date_key": date_key(day),
-        "date_value": day,
-        "commerce_year": commerce_year(day),
-        "commerce_quarter": commerce_quarter(day),
-        "commerce_month": commerce_month(day),
-        "commerce_period": commerce_period(day),
-        "commerce_week": commerce_week(day),
-        "quarter_week": quarter_week(day),
-        "iso_year": F.extract(F.lit("YEAROFWEEK"), day),
-        "iso_week": F.weekofyear(day),
-        "day_of_week": F.weekday(day) + 1,
-        "day_name": day_name(day),
-        "is_weekend": F.weekday(day) >= 5,
-        "date_key_sss": date_key_sss(day),
-        "date_key_mc": date_key_mc(day),
+    year = commerce_year(day)
+    week = _week_of(day, year)
+    make = {
+        "date_key": lambda: date_key(day),
+        "date_value": lambda: day,
+        "commerce_year": lambda: year,
+        "commerce_quarter": lambda: quarter_of_week(week),
+        "commerce_month": lambda: month_of_week(week),
+        "commerce_period": lambda: commerce_period(year, month_of_week(week)),
+        "commerce_week": lambda: week,
+        "quarter_week": lambda: week - (quarter_of_week(week) - 1) * QUARTER_WEEKS,
+        "iso_year": lambda: F.extract(F.lit("YEAROFWEEK"), day),
+        "iso_week": lambda: F.weekofyear(day),
+        "day_of_week": lambda: F.weekday(day) + 1,
+        "day_name": lambda: day_name(day),
+        "is_weekend": lambda: F.weekday(day) >= 5,
+        "date_key_sss": lambda: date_key_sss(day),
+        "date_key_mc": lambda: date_key_mc(day),
     }
+    return {c: make[c]() for c in columns}
 
 
 def attach_calendar(
     df: DataFrame, day: str, columns: tuple[str, ...] = CALENDAR_COLUMNS
 ) -> DataFrame:
     """Add calendar attributes to a fact with a date column; no join, no shuffle."""
-    wanted = calendar_expressions(day)
-    return df.withColumns({c: wanted[c] for c in columns if c != day})
+    return df.withColumns(calendar_expressions(day, tuple(c for c in columns if c != day)))

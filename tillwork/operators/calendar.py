@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.retail_calendar import CALENDAR_COLUMNS, calendar_expressions
+from ..functions.retail_calendar import calendar_expressions
 
 
 def _days(bounds: DataFrame, first: str, last: str) -> DataFrame:
@@ -16,8 +16,7 @@ def _days(bounds: DataFrame, first: str, last: str) -> DataFrame:
 
 
 def _described(days: DataFrame) -> DataFrame:
-    wanted = calendar_expressions("date_value")
-    return days.select(*[wanted[c].alias(c) for c in CALENDAR_COLUMNS])
+    return days.select(*[e.alias(c) for c, e in calendar_expressions("date_value").items()])
 
 
 def commerce_calendar(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:

@@ -1,33 +1,35 @@
 """One row per business key, with a survivor that does not depend on the run.
 
-The survivor is the smallest (or largest) row in a total order: the given order
-columns first, all other columns as tie-break. It is computed as ``min`` or
-``max`` of a struct, so copies collapse on the map side and a key that owns a
-third of the table still sends one row per task through the shuffle.
+Rows of a key stand in a total order: the given order columns first, all other
+columns as tie-break. ``row_number() = 1`` over that order keeps one. Spark
+applies the limit of one row per key in every task before the shuffle as well,
+so a key that owns a third of the table sends one row per task.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _survivor(df: DataFrame, keys: Sequence[str], order: Sequence[str], pick) -> DataFrame:
+def _keep_one(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], direction: Callable[[str], Column]
+) -> DataFrame:
     lead = [c for c in order if c not in keys]
-    rest = [c for c in df.columns if c not in {*keys, *lead}]
-    if not lead and not rest:
+    ranked = lead + [c for c in df.columns if c not in {*keys, *lead}]
+    if not ranked:
         return df.select(*keys).distinct()
-    kept = df.groupBy(*keys).agg(pick(F.struct(*lead, *rest)).alias("_kept"))
-    return kept.select(*[c if c in keys else F.col(f"_kept.{c}").alias(c) for c in df.columns])
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*map(direction, ranked)))
+    return df.withColumn("_place", place).where("_place = 1").drop("_place")
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """The first row per key in ascending order, NULLs first."""
-    return _survivor(df, keys, order, F.min)
+    return _keep_one(df, keys, order, F.asc_nulls_first)
 
 
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """The last row per key in ascending order."""
-    return _survivor(df, keys, order, F.max)
+    return _keep_one(df, keys, order, F.desc_nulls_last)

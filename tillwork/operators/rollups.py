@@ -52,11 +52,11 @@ def daily_sales(lines: DataFrame) -> DataFrame:
     return rolled.withColumn("ticket_count", F.col("line_count"))
 
 
-def store_day_kpi(lines: DataFrame, stores: DataFrame) -> DataFrame:
-    """Till lines to one row per day and store with tickets and basket.
+def store_day_tickets(lines: DataFrame) -> DataFrame:
+    """Till lines to tickets and sales per day and store.
 
     The distinct count shuffles by (day, store, ticket) first, so a store with a
-    third of all lines is spread over its tickets. Stores join after the rollup.
+    third of all lines is spread over its tickets.
     """
     keyed = lines.withColumn("date_key", date_key("txn_date"))
     rolled = keyed.groupBy("date_key", "store_key").agg(
@@ -64,17 +64,17 @@ def store_day_kpi(lines: DataFrame, stores: DataFrame) -> DataFrame:
         F.sum("gross_amount").alias("gross_sales"),
         F.sum("net_amount").alias("net_sales"),
     )
-    sized = rolled.join(stores.select("store_key", "open_m2"), "store_key", "left")
-    floor_one = lambda c: F.greatest(F.col(c), F.lit(1))
+    return rolled.withColumn("transaction_count", F.col("ticket_count"))
+
+
+def store_day_kpi(tickets: DataFrame, stores: DataFrame) -> DataFrame:
+    """Basket and sales per 1000 m2 for rows of ``store_day_tickets``."""
+    sized = tickets.join(stores.select("store_key", "open_m2"), "store_key", "left")
+    baskets, area = (F.greatest(F.col(c), F.lit(1)) for c in ("ticket_count", "open_m2"))
     return sized.select(
-        "date_key",
-        "store_key",
-        "ticket_count",
-        F.col("ticket_count").alias("transaction_count"),
-        m.rounded_ratio("net_sales", floor_one("ticket_count"), 2).alias("avg_basket"),
-        m.rounded_ratio(F.col("net_sales") * 1000, floor_one("open_m2"), 2).alias("sales_m2"),
-        "gross_sales",
-        "net_sales",
+        *tickets.columns,
+        m.rounded_ratio("net_sales", baskets, 2).alias("avg_basket"),
+        m.rounded_ratio(F.col("net_sales") * 1000, area, 2).alias("sales_m2"),
     )
 
 

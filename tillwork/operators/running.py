@@ -8,24 +8,28 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def running_total(value: str, by: Sequence[str], order: str) -> Column:
+def running_total(value: str, by: Sequence[str], order: Sequence[str]) -> Column:
     """Sum from the start of the group to the current row.
 
     Meant for rolled-up facts with one row per (entity, day): a group then has at
     most as many rows as its period has days, whatever the sales behind it.
     """
-    w = Window.partitionBy(*by).orderBy(order)
+    w = Window.partitionBy(*by).orderBy(*order)
     return F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
 
 
 def with_running_totals(
-    df: DataFrame, value: str, entity: str, year: str, month: Sequence[str], order: str
+    df: DataFrame, value: str, entity: str, year: str, month: str, order: str
 ) -> DataFrame:
-    """Month-to-date and year-to-date of ``value`` per entity."""
+    """Month-to-date and year-to-date of ``value`` per entity.
+
+    Months follow each other within a year, so ordering the year by (month, day)
+    is ordering it by day; spelled that way both totals share one sort.
+    """
     return df.withColumns(
         {
-            "mtd_sales": running_total(value, [entity, *month], order),
-            "ytd_sales": running_total(value, [entity, year], order),
+            "mtd_sales": running_total(value, [entity, year, month], [order]),
+            "ytd_sales": running_total(value, [entity, year], [month, order]),
         }
     )
 

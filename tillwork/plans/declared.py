@@ -47,5 +47,5 @@ def store_day(sales: DataFrame, calendar: DataFrame) -> DataFrame:
         days, calendar, ["commerce_period", "commerce_year", "date_key_sss"], how="left"
     )
     return with_running_totals(
-        dated, "net_sales", "store_key", "commerce_year", ["commerce_period"], "date_key"
+        dated, "net_sales", "store_key", "commerce_year", "commerce_period", "date_key"
     )

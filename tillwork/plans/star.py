@@ -92,20 +92,24 @@ def store_day_base(
     ``sales`` may have any grain finer than (day, store). Without a ``calendar``
     table its attributes are computed from the key; with one, days that it does
     not hold drop out. Stores that ``stores`` does not hold drop out in any case.
+
     The fact is rolled up before it joins, so a hot store joins as one row a day.
+    Tickets join first, on the keys the rollup is already partitioned by; stores
+    join last, so a sort-merge join there leaves the partitioning by store that
+    the windows need.
     """
     days = rollups.store_day(up_to(sales, as_of))
+    tickets = ["ticket_count", "transaction_count", "traffic_estimate"]
+    days = joins.join_dimension(
+        days, up_to(kpi, as_of), ["date_key", "store_key"], tickets, "left"
+    )
     if calendar is None:
         days = attach_calendar(
             days.withColumn("date_value", day_of_key("date_key")), "date_value", STORE_DAY_CALENDAR
         )
     else:
         days = joins.join_calendar(days, calendar, STORE_DAY_CALENDAR)
-    days = joins.join_dimension(days, stores, "store_key", ["chain_format", "open_m2"])
-    tickets = ["ticket_count", "transaction_count", "traffic_estimate"]
-    return joins.join_dimension(
-        days, up_to(kpi, as_of), ["date_key", "store_key"], tickets, "left"
-    )
+    return joins.join_dimension(days, stores, "store_key", ["chain_format", "open_m2"])
 
 
 def fact_store_day(
@@ -134,9 +138,8 @@ def fact_store_day(
             df, "store_key", "date_key", {"net_sales": "net_sales_mc"}
         ).withColumn("mc_variation_pct", m.variation_pct("net_sales", "net_sales_mc"))
     df = with_running_totals(
-        df, "net_sales", "store_key", "commerce_year",
-        ["commerce_year", "commerce_month"], "date_key",
-    )
+        df, "net_sales", "store_key", "commerce_year", "commerce_month", "date_key"
+    )
     df = df.withColumns(
         {
             "discount_rate": m.discount_rate("discount_amount", "gross_sales"),

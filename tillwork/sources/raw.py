@@ -54,6 +54,17 @@ def read_raw(
     return df.repartition(spread) if spread else df
 
 
+def spread_scan(df: DataFrame) -> DataFrame:
+    """Deal rows out when a scan has fewer splits than the session has cores.
+
+    One small file is one split, and everything up to the first shuffle would run
+    on one core. A table of many splits is returned as it is: at size this adds
+    no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def load_id(table: str, at: dt.datetime | None = None) -> str:
     at = at or dt.datetime.now(dt.timezone.utc)
     return f"bronze:{table}:{at:%Y%m%d%H%M%S}"
