@@ -53,27 +53,37 @@ def _point_to(spark: SparkSession, table: str, path: str) -> None:
     spark.catalog.refreshTable(table)
 
 
-def _stamped(batch: DataFrame, keys: Sequence[str], unique: bool) -> DataFrame:
-    return keys_first(batch if unique else keep_first(batch, keys), keys)
+def stage_batch(
+    spark: SparkSession, batch: DataFrame, keys: Sequence[str], unique: bool = False
+) -> tuple[DataFrame, str]:
+    """The batch written once: one row per key, keys first, stamped.
+
+    Everything after it (the anti join, the union, the checks) reads the copy, so
+    the cleaning and its shuffle run once. ``unique`` says the batch is already
+    one row per key and saves the dedupe.
+    """
+    path = fresh_dir(spark, "batch")
+    keys_first(batch if unique else keep_first(batch, keys), keys).write.parquet(path)
+    return spark.read.parquet(path), path
 
 
 def upsert_table(
     spark: SparkSession, batch: DataFrame, table: str, keys: Sequence[str], unique: bool = False
-) -> str:
-    """Upsert ``batch`` into ``table``, creating it on first use.
-
-    The new state goes to a fresh folder first and the table is pointed at it
-    after the write has succeeded, so a lost executor or a failed job leaves the
-    old state in place and a repeat of the same batch gives the same table.
-    ``unique`` says the batch is already one row per key and saves the dedupe.
+) -> DataFrame:
+    """Upsert ``batch`` into ``table``, creating it on first use; returns the batch
+    as it was stored.
+
+    The first batch becomes the table as staged. Later ones write the new state to
+    a fresh folder and then point the table at it, so a lost executor or a failed
+    job leaves the old state in place and a repeat of the same batch gives the
+    same table.
     """
-    fresh = _stamped(batch, keys, unique)
+    fresh, path = stage_batch(spark, batch, keys, unique)
     if table_exists(spark, table):
-        fresh = merged(spark.table(table), fresh, keys)
-    path = fresh_dir(spark, table.replace(".", "_"))
-    fresh.write.parquet(path)
+        path = fresh_dir(spark, table.replace(".", "_"))
+        merged(spark.table(table), fresh, keys).write.parquet(path)
     _point_to(spark, table, path)
-    return table
+    return fresh
 
 
 def upsert_partitions(
@@ -93,9 +103,8 @@ def upsert_partitions(
     """
     if partition not in keys:
         raise ValueError("the partition column must be one of the keys")
+    fresh, _ = stage_batch(spark, batch, keys, unique)
     staged = fresh_dir(spark, "staged")
-    _stamped(batch, keys, unique).write.parquet(f"{staged}/batch")
-    fresh = spark.read.parquet(f"{staged}/batch")
     # Partition values only: the driver's file listing of the table holds as many.
     touched = [r[0] for r in fresh.select(partition).distinct().collect()]
     named = [v for v in touched if v is not None]
@@ -103,9 +112,9 @@ def upsert_partitions(
     if len(named) < len(touched):
         inside = inside | F.col(partition).isNull()
     target = spark.read.parquet(root).where(inside)
-    merged(target, fresh, keys).write.parquet(f"{staged}/merged")
+    merged(target, fresh, keys).write.parquet(staged)
     (
-        spark.read.parquet(f"{staged}/merged")
+        spark.read.parquet(staged)
         # Rebalancing gathers a partition into few files and splits a hot one.
         .hint("rebalance", partition)
         .write.option("partitionOverwriteMode", "dynamic")
