@@ -1,4 +1,4 @@
-"""Compare every registered query with its SQL: python -m parity.check [dir] [name…]"""
+"""Compare every registered query with its SQL: python -m parity.check [dir] [name…] [key=value…]"""
 
 from __future__ import annotations
 
@@ -44,9 +44,11 @@ def differences(spark, con, name: str, sf_dir: str) -> tuple[int, list]:
 
 
 def main(sf_dir: str, names: list[str]) -> int:
-    spark = build_session(
-        "check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"}
-    )
+    # Further settings as key=value, to check that results do not depend on them.
+    extra = dict(n.split("=", 1) for n in names if "=" in n)
+    names = [n for n in names if "=" not in n]
+    conf = {"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", **extra}
+    spark = build_session("check", "local[8]", **conf)
     spark.sparkContext.setLogLevel("ERROR")
     con, bad = connect(sf_dir), 0
     for name in names or QUERIES:

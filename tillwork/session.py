@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -38,9 +39,12 @@ def shared_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    root = tempfile.mkdtemp(prefix="tillwork-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return _own_root()
+
+
+@cache
+def _own_root() -> str:
+    return tempfile.mkdtemp(prefix="tillwork-")
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
