@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillwork.functions import cleaning as c
 from tillwork.functions import measures as m
-from tillwork.functions.cleaning import one_of
 from tillwork.functions.retail_calendar import attach_calendar, date_key, day_of_key
 from tillwork.operators import dedupe, joins, quality, rollups, running
 from tillwork.operators import balances as bal
@@ -20,7 +20,7 @@ from tillwork.sources import feeds, raw, sinks
 from tillwork.streaming import intake
 
 from . import roles as r
-from .sql import BLOCKS, calendar_of, first_per, half_up, statement
+from .sql import calendar_of, first_per, half_up, statement
 
 Query = Callable[[SparkSession, str], DataFrame]
 SPARK_TYPES = {"i": "bigint", "d": "double", "s": "string", "b": "boolean"}
@@ -370,7 +370,7 @@ def _(spark, d):
     gaps = orders(spark, d).withColumn(
         "status", F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderstatus"))
     )
-    return gaps.select("o_orderkey", one_of(["F", "O"], "OTHER")("status").alias("status"))
+    return gaps.select("o_orderkey", c.one_of(["F", "O"], "OTHER")("status").alias("status"))
 
 
 @query(
@@ -386,8 +386,6 @@ def _(spark, d):
         "case o_orderstatus when 'F' then ' fully FILLED' when 'O' then 'STILL open ' end"
     )
     o = orders(spark, d).withColumn("spoken", spoken)
-    from tillwork.functions import cleaning as c
-
     return o.select(
         "o_orderkey",
         c.code("o_orderpriority").alias("code"),
@@ -1301,7 +1299,7 @@ EVENT_SCHEMA = "event_id bigint, day date, user_id bigint, event_type string, va
 @query(
     "stream_file_intake",
     EVENT_COLUMNS + " load:s",
-    f"SELECT *, 'autoloader:events' AS load FROM ({EVENTS_SQL})",
+    f"SELECT *, 'stream:events' AS load FROM ({EVENTS_SQL})",
 )
 def _(spark, d):
     source, checkpoint = fresh_dir(spark, "stream-in"), fresh_dir(spark, "stream-state")
@@ -1354,4 +1352,4 @@ def _(spark, d):
     return declared.store_day(spark.table(sales), r.calendar(spark, d))
 
 
-__all__ = ["BLOCKS", "QUERIES", "SQL"]
+__all__ = ["QUERIES", "SQL"]

@@ -23,7 +23,7 @@ def test_each_file_once_and_wider_schema(spark, schema, tmp_path):
     assert drain("id int, v string") == 2
     drop(tmp_path, "2.csv", "id,v\n3,c\n")
     assert drain("id int, v string") == 3
-    assert {r._load_id for r in spark.table(table).collect()} == {"autoloader:events"}
+    assert {r._load_id for r in spark.table(table).collect()} == {"stream:events"}
     spark.sql(f"ALTER TABLE {table} ADD COLUMNS (w int)")
     drop(tmp_path, "3.csv", "id,v,w\n4,d,7\n")
     assert drain("id int, v string, w int") == 4

@@ -150,7 +150,11 @@ def sum_between(column: str, low: float | None = None, high: float | None = None
 def unique_count_between(
     column: str, low: int | None = None, high: int | None = None, rsd: float | None = None
 ) -> Check:
-    """Exact distinct count, or an estimate with relative error ``rsd``."""
+    """Exact distinct count, or an estimate with relative error ``rsd``.
+
+    Each exact count of a suite beyond the first makes Spark pass every row once
+    more through the aggregate; estimates do not.
+    """
 
     def judge(agg):
         n = agg("uniques")

@@ -26,6 +26,9 @@ CATEGORIES = (
 )
 EAN_WIDTH = 13
 
+# The table names, keys and suite contents of the entities below are fixed values
+# as well: they are what users of the published tables rely on.
+
 
 def _all(rule: c.Rule, *columns: str) -> dict[str, c.Rule]:
     return dict.fromkeys(columns, rule)

@@ -49,7 +49,6 @@ FACT_BUDGET = (
     "commerce_period", "calendar_month_start", "store_key", "dept", "budget_amount",
     "budget_qty_units", "actual_sales", "budget_usage_pct", "budget_gap",
 )
-LAYER_TOLERANCE = 0.001
 STORE_DAY_CALENDAR = DIM_CALENDAR[1:6] + DIM_CALENDAR[-2:]
 SSS_VALUES = {
     "net_sales": "net_sales_sss",
@@ -200,6 +199,8 @@ def _against(budget: DataFrame, actuals: DataFrame, keys: list[str]) -> DataFram
     )
 
 
+# Names and tolerance of the published layer balances.
+LAYER_TOLERANCE = 0.001
 BALANCES = (
     Balance("silver vs gold fact_sales (net)", "daily_sales", "fact_sales", LAYER_TOLERANCE),
     Balance("fact_sales vs store_daily (net)", "fact_sales", "store_day", LAYER_TOLERANCE),

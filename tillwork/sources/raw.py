@@ -66,6 +66,7 @@ def spread_scan(df: DataFrame) -> DataFrame:
 
 
 def load_id(table: str, at: dt.datetime | None = None) -> str:
+    # Fixed value: the format of the load id.
     at = at or dt.datetime.now(dt.timezone.utc)
     return f"bronze:{table}:{at:%Y%m%d%H%M%S}"
 

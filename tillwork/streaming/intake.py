@@ -28,7 +28,7 @@ def file_stream(
     reader = spark.readStream.format(fmt).schema(schema).options(**READER_OPTIONS.get(fmt, {}))
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return with_lineage(reader.load(path), f"autoloader:{table}")
+    return with_lineage(reader.load(path), f"stream:{table}")
 
 
 def drain_to_table(stream: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
