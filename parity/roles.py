@@ -161,8 +161,14 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sale_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dates alone: their bounds need no spreading and one column."""
+    shipped = F.col("l_shipdate").cast("date").alias("txn_date")
+    return table(spark, sf_dir, "lineitem").select(shipped)
+
+
 def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return calendar_spanning(lines(spark, sf_dir), "txn_date")
+    return calendar_spanning(sale_days(spark, sf_dir), "txn_date")
 
 
 def daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -239,9 +245,7 @@ def budget(spark: SparkSession, sf_dir: str) -> DataFrame:
         "qty budget_qty_units",
     )
     # The budget year may lie behind the last sale: describe one more year of days.
-    days = lines(spark, sf_dir).select("txn_date")
-    ahead = days.agg(F.max(F.date_add("txn_date", 400)).alias("txn_date"))
-    starts = rollups.period_starts(calendar_spanning(days.unionByName(ahead), "txn_date"))
+    starts = rollups.period_starts(calendar_spanning(sale_days(spark, sf_dir), "txn_date", 400))
     return joins.join_dimension(plan, starts, "commerce_period", ["calendar_month_start"], "left")
 
 

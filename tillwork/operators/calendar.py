@@ -27,7 +27,7 @@ def commerce_calendar(spark: SparkSession, start: dt.date, end: dt.date) -> Data
     return _described(_days(bounds, "first", "last"))
 
 
-def calendar_spanning(fact: DataFrame, day: str) -> DataFrame:
-    """The calendar between the first and the last day of a fact."""
-    bounds = fact.agg(F.min(day).alias("first"), F.max(day).alias("last"))
-    return _described(_days(bounds, "first", "last"))
+def calendar_spanning(fact: DataFrame, day: str, days_after: int = 0) -> DataFrame:
+    """The calendar from the first to the last day of a fact, and some days after."""
+    last = F.date_add(F.max(day), days_after)
+    return _described(_days(fact.agg(F.min(day).alias("first"), last.alias("last")), "first", "last"))
