@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwork.llm import quality_rules, secret_ledger
+from tillwork.llm import curve_packing, id_files, quality_rules, secret_ledger
 from tillwork.llm.shipping import ship
 from tillwork.session import fresh_dir
 
@@ -41,14 +42,30 @@ def op3_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 4096 ids, neighbours on the curve together."""
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return curve_packing.pack(table(spark, sf_dir, "documents"), tokenizer)
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of the threshold table for every document."""
     return quality_rules.measured(table(spark, sf_dir, "documents"))
 
 
+def op10_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place and checksum, read back from the files of token ids."""
+    folder = fresh_dir(spark, "ids")
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    id_files.write(table(spark, sf_dir, "documents"), folder, tokenizer)
+    return id_files.documents(spark, folder)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secret_ledger": op3_secret_ledger,
+    "op7_curve_packing": op7_curve_packing,
     "op8_quality_rules": op8_quality_rules,
+    "op10_id_files": op10_id_files,
 }
 
 SQL: dict[str, str] = {}
