@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwork.llm import curve_packing, id_files, quality_rules, secret_ledger
+from tillwork.llm import curve_packing, id_files, quality_rules, secret_ledger, vertical_join
 from tillwork.llm.shipping import ship
 from tillwork.session import fresh_dir
 
@@ -53,6 +53,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.measured(table(spark, sf_dir, "documents"))
 
 
+def op9_vertical_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents on five-word shingles, similarity 0.8."""
+    return vertical_join.join(table(spark, sf_dir, "documents"))
+
+
 def op10_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place and checksum, read back from the files of token ids."""
     folder = fresh_dir(spark, "ids")
@@ -65,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secret_ledger": op3_secret_ledger,
     "op7_curve_packing": op7_curve_packing,
     "op8_quality_rules": op8_quality_rules,
+    "op9_vertical_join": op9_vertical_join,
     "op10_id_files": op10_id_files,
 }
 
