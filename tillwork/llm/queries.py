@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwork.llm import curve_packing, id_files, quality_rules, secret_ledger, vertical_join
+from tillwork.llm import curve_packing, id_files, positional_index, quality_rules, secret_ledger, vertical_join
 from tillwork.llm.shipping import ship
 from tillwork.session import fresh_dir
 
@@ -42,6 +42,22 @@ def op3_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and items of the benchmark that every document holds."""
+    found = positional_index.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    listed = F.array_join("item_ids", ",")
+    return found.select(
+        "key.doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(listed.cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op7_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 4096 ids, neighbours on the curve together."""
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
@@ -68,6 +84,7 @@ def op10_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secret_ledger": op3_secret_ledger,
+    "op5_positional_index": op5_positional_index,
     "op7_curve_packing": op7_curve_packing,
     "op8_quality_rules": op8_quality_rules,
     "op9_vertical_join": op9_vertical_join,
