@@ -8,7 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwork.llm import curve_packing, id_files, positional_index, quality_rules, secret_ledger, vertical_join
+from tillwork.llm import (
+    curve_packing,
+    id_files,
+    line_hashing,
+    positional_index,
+    quality_rules,
+    secret_ledger,
+    template_tree,
+    vertical_join,
+)
 from tillwork.llm.shipping import ship
 from tillwork.session import fresh_dir
 
@@ -19,6 +28,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_template_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines whose template recurs, the first occurrence excepted."""
+    return template_tree.cleaned(table(spark, sf_dir, "documents"))
+
+
 def op3_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, by way of a ledger that starts empty."""
     found = secret_ledger.scan(table(spark, sf_dir, "documents"), fresh_dir(spark, "ledger"))
@@ -42,6 +56,11 @@ def op3_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_line_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated lines of 25 words or more in all documents, with original offsets."""
+    return line_hashing.repeated_units(table(spark, sf_dir, "documents"))
+
+
 def op5_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words and items of the benchmark that every document holds."""
     found = positional_index.contamination(
@@ -83,7 +102,9 @@ def op10_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_template_tree": op1_template_tree,
     "op3_secret_ledger": op3_secret_ledger,
+    "op4_line_hashing": op4_line_hashing,
     "op5_positional_index": op5_positional_index,
     "op7_curve_packing": op7_curve_packing,
     "op8_quality_rules": op8_quality_rules,
