@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from tillwork.llm import (
     curve_packing,
     id_files,
+    license_alignment,
     line_hashing,
     positional_index,
     quality_rules,
     secret_ledger,
+    subword_classifier,
     template_tree,
     vertical_join,
 )
@@ -33,6 +35,11 @@ def op1_template_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return template_tree.cleaned(table(spark, sf_dir, "documents"))
 
 
+def op2_license_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The license of every document, by alignment with public notices and texts."""
+    return license_alignment.scan(table(spark, sf_dir, "documents"))
+
+
 def op3_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, by way of a ledger that starts empty."""
     found = secret_ledger.scan(table(spark, sf_dir, "documents"), fresh_dir(spark, "ledger"))
@@ -77,6 +84,13 @@ def op5_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_subword_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, trained on labels outside the held-out part."""
+    docs = table(spark, sf_dir, "documents")
+    model = subword_classifier.fit(docs, table(spark, sf_dir, "labels"))
+    return subword_classifier.scored(docs, model)
+
+
 def op7_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 4096 ids, neighbours on the curve together."""
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
@@ -103,9 +117,11 @@ def op10_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_template_tree": op1_template_tree,
+    "op2_license_alignment": op2_license_alignment,
     "op3_secret_ledger": op3_secret_ledger,
     "op4_line_hashing": op4_line_hashing,
     "op5_positional_index": op5_positional_index,
+    "op6_subword_classifier": op6_subword_classifier,
     "op7_curve_packing": op7_curve_packing,
     "op8_quality_rules": op8_quality_rules,
     "op9_vertical_join": op9_vertical_join,
