@@ -104,7 +104,8 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_vertical_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents on five-word shingles, similarity 0.8."""
-    return vertical_join.join(table(spark, sf_dir, "documents"))
+    found = vertical_join.join(table(spark, sf_dir, "documents"))
+    return found.select("key.doc_id", "n_shingles", "component_id", "class_id")
 
 
 def op10_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:

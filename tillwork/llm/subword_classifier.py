@@ -1,7 +1,8 @@
 """Quality classifier on supervised subword embeddings.
 
 Words, as written, and the character n-grams inside them are hashed into a table of learned
-vectors; a document is the average of all its vectors, and a softmax over two classes sits on top.
+vectors. Pairs of equal neighbouring words share one more vector, as a hash of the pair itself
+would say nothing about repetition in general. A document is the average of all its vectors, and a softmax over two classes sits on top.
 The table and the weights are trained together by stochastic gradient descent in numpy, on at most
 ``MAX_TRAINING`` labelled documents, a bound that does not depend on the corpus: the labelled ids
 with the smallest hashes are taken. Features of the sample are made in Spark's tasks and have at
@@ -33,6 +34,7 @@ from tillwork.llm.encoding import starts_of, summed
 from tillwork.llm.words import ascii_words, filled, mixed, slices, word_hashes
 
 BUCKETS = 1 << 16
+REPEATED = BUCKETS  # the vector of a word that repeats the word before it
 WIDTH = 16
 GRAMS = (3, 4)
 MAX_TRAINING = 3000
@@ -74,15 +76,25 @@ def word_features(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return counts, (found[order] % np.uint64(BUCKETS)).astype(np.int64)
 
 
+def repeats(counts: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Words of each text that equal the word before them."""
+    same = np.zeros(len(codes), np.int64)
+    same[1:] = codes[1:] == codes[:-1]
+    same[starts_of(counts)[counts > 0]] = 0
+    return summed(same, counts)
+
+
 def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch):
             counts, words, codes = ascii_words(filled(part.column("text")))
             sizes, buckets = word_features(words)
             starts, at = starts_of(sizes), np.concatenate([[0], np.cumsum(counts)])
+            again = repeats(counts, codes)
             names, times = [], []
-            for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
-                own = np.zeros(BUCKETS, np.int32)
+            for row, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist())):
+                own = np.zeros(BUCKETS + 1, np.int32)
+                own[REPEATED] = again[row]
                 for code, count in zip(*np.unique(codes[a:b], return_counts=True)):
                     np.add.at(own, buckets[starts[code] : starts[code] + sizes[code]], count)
                 names.append(np.flatnonzero(own).astype(np.int32))
@@ -121,7 +133,7 @@ def sample(docs: DataFrame, labels: DataFrame, bound: int = MAX_TRAINING) -> Dat
 def trained(features: pa.Table, epochs: int = EPOCHS, rate: float = RATE, seed: int = 5) -> Model:
     """Stochastic gradient descent over single documents, with a rate that falls to zero."""
     rng = np.random.default_rng(seed)
-    table = rng.uniform(-1 / WIDTH, 1 / WIDTH, (BUCKETS, WIDTH)).astype(np.float32)
+    table = rng.uniform(-1 / WIDTH, 1 / WIDTH, (BUCKETS + 1, WIDTH)).astype(np.float32)
     weights, bias = np.zeros((WIDTH, 2), np.float32), np.zeros(2, np.float32)
     docs = []
     for quality, buckets, counts in zip(
@@ -159,7 +171,9 @@ def _scorer(model: Model):
                 sizes, buckets = word_features(words)
                 amounts = summed(model.bucket_logits[buckets].astype(np.float64), sizes)
                 total = summed(amounts[codes], counts)
-                features = summed(sizes[codes], counts)
+                again = repeats(counts, codes)
+                total += again * float(model.bucket_logits[REPEATED])
+                features = summed(sizes[codes], counts) + again
                 logits = np.clip(model.bias + total / np.maximum(features, 1), -500, 500)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(1 / (1 + np.exp(-logits)))],

@@ -37,11 +37,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwork.llm.components import components, stored
 from tillwork.llm.encoding import starts_of, summed
+from tillwork.llm.positional_index import document_key
 from tillwork.llm.words import ascii_words, filled, mixed, slices, word_hashes
 
 FRAGMENT = 2_000_000
@@ -89,8 +90,8 @@ def _sets(n: int):
                 sizes, grams = gram_sets(part.column("text"), n)
                 first, second = digests(sizes, grams)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(sizes), pa.array(first), pa.array(second)],
-                    names=["doc_id", "n_shingles", "class", "check"],
+                    [part.column("key"), pa.array(sizes), pa.array(first), pa.array(second)],
+                    names=["key", "n_shingles", "class", "check"],
                 )
 
     return rows
@@ -322,20 +323,24 @@ def _class_labels(index: DataFrame, parts: DataFrame, sizes: DataFrame, percent:
 
 
 def join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``class_id`` (smallest id with the same set) and
-    ``component_id`` (smallest id that links reach) for every row of ``docs``.
+    """``key`` (id and text hash), ``n_shingles``, ``class_id`` (smallest id with the same set)
+    and ``component_id`` (smallest id that links reach) for every row of ``docs``.
 
     Two documents link when their sets' intersection has at least ``percent`` hundredths of the
     size of their union.
     """
-    texts = docs.select("doc_id", "text")
+    texts = docs.select(document_key(docs).alias("key"), "text")
     sets = stored(
-        texts.mapInArrow(_sets(n), "doc_id long, n_shingles long, class long, check long"), "sets"
+        texts.mapInArrow(
+            _sets(n),
+            "key struct<doc_id:long,text:long>, n_shingles long, class long, check long",
+        ),
+        "sets",
     )
     classes = stored(
         sets.where("n_shingles > 0")
         .groupBy("class", "check")
-        .agg(F.min("doc_id").alias("class_id"), F.first("n_shingles").alias("n")),
+        .agg(F.min("key.doc_id").alias("class_id"), F.first("n_shingles").alias("n")),
         "classes",
     )
     total = classes.agg(F.sum("n")).first()[0] or 0
@@ -369,24 +374,38 @@ def join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     )
     least = named.groupBy("label").agg(F.min("class_id").alias("component_id"))
     named = named.join(least, "label").select("class", "check", "class_id", "component_id")
+    own = F.col("key.doc_id")
     return sets.join(named, ["class", "check"], "left").select(
-        "doc_id",
+        "key",
         "n_shingles",
-        F.when(F.col("n_shingles") > 0, F.col("component_id"))
-        .otherwise(F.col("doc_id"))
-        .alias("component_id"),
-        F.when(F.col("n_shingles") > 0, F.col("class_id"))
-        .otherwise(F.col("doc_id"))
-        .alias("class_id"),
+        F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(own).alias("component_id"),
+        F.when(F.col("n_shingles") > 0, F.col("class_id")).otherwise(own).alias("class_id"),
     )
 
 
+def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` with the smallest id of their component, with their columns.
+
+    Rows that repeat an id and a text are one document and stay or go together; so do rows
+    without id.
+    """
+    found = join(docs, n, percent)
+    gone = stored(
+        found.where(~F.col("key.doc_id").eqNullSafe(F.col("component_id")))
+        .select(F.col("key").alias("gone"))
+        .distinct(),
+        "gone",
+    )
+    whole = docs.select(
+        F.struct(*(docs[c] for c in docs.columns)).alias("row"), document_key(docs).alias("key")
+    )
+    return whole.join(gone, F.col("key") == F.col("gone"), "left_anti").select("row.*")
+
+
 def _index(parts: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """Entries (gram, class, weight): the rarest shared n-grams of each class, as many as a link
     cannot miss. The weight is higher for classes whose n-grams are more frequent, such as the
     text that others were copied from."""
-    from pyspark.sql import Window
-
     single = parts.select("class", F.explode("grams").alias("gram"))
     often = single.groupBy("gram").agg(F.count("*").alias("classes")).where("classes > 1")
     by_class = Window.partitionBy("class")
