@@ -47,6 +47,7 @@ from tillwork.llm.words import ascii_words, filled, mixed, slices, word_hashes
 
 FRAGMENT = 2_000_000
 LEAST_FRAGMENTS = 64
+SLABS = 8  # fragments of near copies are verified in so many groups
 LOW_BITS = 40
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -295,31 +296,52 @@ def _class_labels(index: DataFrame, parts: DataFrame, sizes: DataFrame, percent:
     links = stored(links.union(_verified(more, parts, sizes, percent)), "star")
     labels = stored(components(links), "labels")
 
-    named = index.join(labels, F.col("class") == F.col("node"), "left").select(
-        "gram", "class", F.coalesce("label", "class").alias("label")
+    pairs = _ordered(_pairs_apart(index, labels, percent))
+    links = stored(links.union(_verified(pairs, parts, sizes, percent)), "star")
+    return stored(components(links), "labels")
+
+
+def _pairs_apart(index: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Index neighbours in different components that can still link.
+
+    In each gram's group, the members outside its largest component meet all members of other
+    components; the largest one does not meet itself. Of two sets that link, the common part is
+    at least percent / (100 + percent) of both sizes together. It is at most what either shares
+    with anyone, and, seen from a common gram, the ranks up to it in one set and the rest behind it
+    in the other.
+    """
+    named = stored(
+        index.join(labels, F.col("class") == F.col("node"), "left").select(
+            "gram", "class", F.coalesce("label", "class").alias("label"), "rank", "shared", "n"
+        ),
+        "named",
     )
-    mixed_grams = (
-        named.groupBy("gram")
-        .agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        .where("low < high")
-        .select("gram")
+    largest = (
+        named.groupBy("gram", "label")
+        .agg(F.count("*").alias("members"))
+        .groupBy("gram")
+        .agg(F.max(F.struct("members", "label"))["label"].alias("top"), F.count("*").alias("labels"))
+        .where("labels > 1")
+        .select("gram", "top")
     )
-    rest = stored(named.join(mixed_grams, "gram"), "rest")
-    groups = rest.select("gram", "label").distinct()
-    facing = groups.join(
-        groups.select("gram", F.col("label").alias("other")), "gram"
-    ).where("label < other")
-    pairs = (
-        facing.join(rest.select("gram", "label", F.col("class").alias("a")), ["gram", "label"])
-        .join(
-            rest.select("gram", F.col("label").alias("other"), F.col("class").alias("b")),
-            ["gram", "other"],
-        )
-        .select("a", "b")
+    mixed_groups = named.join(largest, "gram")
+    outside = mixed_groups.where("label <> top").select(
+        "gram", F.struct("class", "label", "rank", "shared", "n").alias("x")
     )
-    pairs = _in_reach(_ordered(pairs), sizes, percent)
-    links = stored(links.union(_verified(pairs, parts, sizes, percent)), "star")
-    return stored(components(links), "labels")
+    inside = mixed_groups.select("gram", F.struct("class", "label", "rank", "shared", "n").alias("y"))
+    x, y = F.col("x"), F.col("y")
+    common = F.least(
+        x["shared"],
+        y["shared"],
+        F.least(x["rank"], y["rank"]) + F.least(x["shared"] - x["rank"], y["shared"] - y["rank"]),
+    )
+    possible = (
+        (x["label"] != y["label"])
+        & (F.least(x["n"], y["n"]) * 100 >= F.greatest(x["n"], y["n"]) * percent)
+        & (common * (100 + percent) >= (x["n"] + y["n"]) * percent)
+    )
+    joined = outside.alias("o").join(inside.alias("i"), (F.col("o.gram") == F.col("i.gram")) & possible)
+    return joined.select(x["class"].alias("a"), y["class"].alias("b"))
 
 
 def join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -361,7 +383,7 @@ def join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     )
     parts = stored(
         shared.join(sizes, "class")
-        .select("class", "fragment", F.explode("grams").alias("gram"))
+        .select("class", (F.col("fragment") % SLABS).alias("fragment"), F.explode("grams").alias("gram"))
         .groupBy("class", "fragment")
         .agg(F.collect_set("gram").alias("grams")),
         "parts",
@@ -403,8 +425,9 @@ def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
 
 
 def _index(parts: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """Entries (gram, class, weight): the rarest shared n-grams of each class, as many as a link
-    cannot miss. The weight is higher for classes whose n-grams are more frequent, such as the
+    """Entries (gram, class, weight, rank, shared, n): the rarest shared n-grams of each class,
+    as many as a link cannot miss. ``rank`` is the gram's place among the ``shared`` ones, which
+    other near copies have too; ``n`` is the size of the set. The weight is higher for classes whose n-grams are more frequent, such as the
     text that others were copied from."""
     single = parts.select("class", F.explode("grams").alias("gram"))
     often = single.groupBy("gram").agg(F.count("*").alias("classes")).where("classes > 1")
@@ -414,10 +437,9 @@ def _index(parts: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
         .withColumn("rank", F.row_number().over(by_class.orderBy("classes", "gram")))
         .withColumn("shared", F.count("*").over(by_class))
         .withColumn("weight", F.avg(F.log2("classes")).over(by_class))
-        .where(F.col("shared") - F.col("rank") >= 0)
     )
     return (
         ranked.join(sizes, "class")
         .where(F.col("rank") <= F.col("shared") - _needed(F.col("n"), percent) + 1)
-        .select("gram", "class", "weight")
+        .select("gram", "class", "weight", "rank", "shared", "n")
     )
