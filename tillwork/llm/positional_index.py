@@ -1,13 +1,13 @@
 """Benchmark decontamination on a distributed positional index of the training documents.
 
 Built-in functions only. Every test item is cut into windows of consecutive words. A first pass
-over the documents counts the test terms in the whole corpus; the rarest term of each window is
-its anchor. A second pass stores the postings (document, position) of the anchors, and with them
+over the documents counts the test terms in the whole corpus; the rarest terms of each window are
+its anchors. A second pass stores the postings (document, position) of the anchors, and with them
 each document's length. Anchor postings, moved back by the anchor's place in its window, are the
-places where a window can start. The positions that the window's other terms must have there are
-intersected with the postings of those documents, and places where all lists meet are exact
-phrases; with ``slop``, terms may be off their place, and with ``least``, some may be missing,
-which gives proximity matches.
+places where a window can start; for exact phrases the lists of all anchors must meet there. The
+positions that the window's other terms must have are then intersected with the postings of the
+documents that are left, and places where all lists meet are exact phrases; with ``slop``, terms
+may be off their place, and with ``least``, some may be missing, which gives proximity matches.
 
 Scale: the anchors' postings are a small part of the corpus, as rare terms are chosen by corpus
 counts; term counts are combined before their shuffle. Test terms, anchors and candidate
@@ -30,6 +30,7 @@ from tillwork.llm.components import stored
 
 # Fixed value: what a word is made of, after A-Z are lower-cased.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+ANCHORS = 3
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -70,17 +71,20 @@ def _tokens(docs: DataFrame) -> DataFrame:
 
 
 def _anchors(windows: DataFrame, counts: DataFrame) -> DataFrame:
-    """(id, terms, term, place): each window's rarest term in the corpus; windows with a term
-    that the corpus lacks have no row."""
-    placed = windows.select("id", "terms", F.posexplode("terms").alias("place", "term"))
-    rare = placed.join(counts, "term").groupBy("id").agg(
-        F.min(F.struct("n", "term", "place")).alias("rarest"), F.count("*").alias("known")
+    """(id, term, place, rank, anchors): the ``ANCHORS`` rarest different terms of each window in
+    the corpus; windows with a term that the corpus lacks have no row."""
+    placed = windows.select("id", F.size("terms").alias("size"), F.posexplode("terms").alias("place", "term"))
+    known = placed.join(counts, "term").groupBy("id", "size").agg(
+        F.count("*").alias("known"), F.array_sort(F.collect_set(F.struct("n", "term"))).alias("terms")
     )
-    return (
-        windows.join(rare, "id")
-        .where(F.col("known") == F.size("terms"))
-        .select("id", "terms", F.col("rarest.term").alias("term"), F.col("rarest.place").alias("place"))
+    rare = (
+        known.where(F.col("known") == F.col("size"))
+        .select("id", F.slice("terms", 1, ANCHORS).alias("terms"))
+        .select("id", F.size("terms").alias("anchors"), F.posexplode("terms").alias("rank", "rare"))
+        .select("id", "anchors", "rank", F.col("rare.term").alias("term"))
     )
+    first = placed.groupBy("id", "term").agg(F.min("place").alias("place"))
+    return rare.join(first, ["id", "term"])
 
 
 def matches(
@@ -108,19 +112,24 @@ def matches(
     )
     postings = stored(_tokens(docs).join(wanted, "term").select("key", "pos", "term"), "postings")
     lengths = postings.where("term = ''").select("key", F.col("pos").cast("long").alias("n_words"))
+    exact = slop == 0 and least >= 1.0
+    usable = anchors if exact else anchors.where("rank = 0")
     start = (F.col("pos") - F.col("place")).alias("start")
-    candidates = stored(
+    met = (
         postings.where("term <> ''")
-        .join(anchors, "term")
-        .select("key", start, "id", "terms")
+        .join(usable, "term")
+        .select("key", start, "id", "rank", "anchors")
         .where("start >= 0")
-        .distinct(),
-        "candidates",
+        .groupBy("key", "start", "id", "anchors")
+        .agg(F.count_distinct("rank").alias("ranks"))
+        .where(F.col("ranks") == F.col("anchors") if exact else F.lit(True))
     )
+    candidates = stored(met.select("key", "start", "id"), "candidates")
     suspects = stored(candidates.select("key").distinct(), "suspects")
     shifts = F.sequence(F.lit(-slop), F.lit(slop))
     needed = (
-        candidates.select("key", "start", "id", F.size("terms").alias("length"), F.posexplode("terms").alias("place", "term"))
+        candidates.join(windows, "id")
+        .select("key", "start", "id", F.size("terms").alias("length"), F.posexplode("terms").alias("place", "term"))
         .select("key", "start", "id", "length", "place", "term", F.explode(shifts).alias("shift"))
         .select("key", "start", "id", "length", "place", "term", (F.col("start") + F.col("place") + F.col("shift")).alias("pos"))
     )

@@ -35,8 +35,10 @@ BROADCAST_LEAVES = 1_000_000
 
 
 def _tokens(line: Column) -> Column:
+    """Tokens of a line; only lines with a digit have fields to look for."""
     words = F.regexp_extract_all(line, F.lit(TOKEN), F.lit(0))
-    return F.transform(words, lambda t: F.when(t.rlike("[0-9]"), F.lit(FIELD)).otherwise(t))
+    fields = F.transform(words, lambda t: F.when(t.rlike("[0-9]"), F.lit(FIELD)).otherwise(t))
+    return F.when(line.rlike("[0-9]"), fields).otherwise(words)
 
 
 def lines_of(docs: DataFrame, depth: int) -> DataFrame:
@@ -91,13 +93,13 @@ def templates(
     """The lines whose leaf ``min_docs`` documents reach, as (key, line_no, shape), and the
     template of each shape, as (shape, template)."""
     lines = lines_of(docs, depth)
-    seen = lines.select("leaf", "key").distinct()
+    everywhere = stored(lines.select("key", "line_no", "leaf", "shape"), "lines")
+    seen = everywhere.select("leaf", "key").distinct()
     busy = stored(
         seen.groupBy("leaf").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs).select("leaf"),
         "leaves",
     )
-    inside = lines.join(_bounded(busy), "leaf")
-    places = stored(inside.select("key", "line_no", "leaf", "shape"), "places")
+    places = stored(everywhere.join(_bounded(busy), "leaf"), "places")
     support = (
         places.select("leaf", "shape", "key").distinct().groupBy("leaf", "shape").agg(F.count("*").alias("docs"))
     )
@@ -106,7 +108,7 @@ def templates(
         "several",
     )
     texts = (
-        inside.join(_bounded(several), "leaf")
+        lines.join(_bounded(several), "leaf")
         .groupBy("leaf", "shape")
         .agg(F.first("tokens").alias("tokens"))
     )
