@@ -58,6 +58,10 @@ def main() -> None:
         f"local[{cpus}]",
         **{
             "spark.sql.shuffle.partitions": cpus,
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum": cpus,
+            # A table of one file is one split; cut it for the cores of this machine.
+            "spark.sql.files.minPartitionNum": cpus,
+            "spark.sql.files.openCostInBytes": "1m",
             "spark.driver.memory": "16g",
             "spark.ui.enabled": "false",
         },

@@ -47,7 +47,8 @@ def main(sf_dir: str, names: list[str]) -> int:
     # Further settings as key=value, to check that results do not depend on them.
     extra = dict(n.split("=", 1) for n in names if "=" in n)
     names = [n for n in names if "=" not in n]
-    conf = {"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", **extra}
+    conf = {"spark.sql.shuffle.partitions": "8",
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8", "spark.ui.enabled": "false", **extra}
     spark = build_session("check", "local[8]", **conf)
     spark.sparkContext.setLogLevel("ERROR")
     con, bad = connect(sf_dir), 0

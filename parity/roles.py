@@ -11,7 +11,6 @@ from tillwork.functions.retail_calendar import attach_calendar, date_key
 from tillwork.operators import joins, rollups
 from tillwork.operators.calendar import calendar_spanning
 from tillwork.operators.running import clamped_balance
-from tillwork.sources.raw import spread_scan
 
 
 # Layouts of the given tables; named, they need no inference job.
@@ -36,7 +35,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread_scan(table(spark, sf_dir, "lineitem"))
+    return table(spark, sf_dir, "lineitem")
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,7 +161,7 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sale_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The dates alone: their bounds need no spreading and one column."""
+    """The dates alone: their bounds need one column."""
     shipped = F.col("l_shipdate").cast("date").alias("txn_date")
     return table(spark, sf_dir, "lineitem").select(shipped)
 
@@ -176,8 +175,16 @@ def daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def store_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tickets of lines that were not returned: store days with returns only have none."""
-    tickets = rollups.store_day_tickets(lines(spark, sf_dir).where("return_flag <> 'R'"))
+    return _visited(rollups.store_day_tickets(lines(spark, sf_dir)))
+
+
+def sold_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tickets of goods that stayed sold. Store days with returns alone are absent, which is what
+    joins that may find no tickets are tried on."""
+    return _visited(rollups.store_day_tickets(lines(spark, sf_dir).where("return_flag <> 'R'")))
+
+
+def _visited(tickets: DataFrame) -> DataFrame:
     return tickets.withColumn("traffic_estimate", F.expr("cast(ticket_count * 14 div 10 as int)"))
 
 

@@ -143,13 +143,18 @@ BLOCKS = {
         FROM (
             SELECT date_key, store_key, count(DISTINCT txn_id) AS ticket_count,
                 sum(gross_amount) AS gross_sales, sum(net_amount) AS net_sales
-            FROM lines WHERE return_flag <> 'R' GROUP BY ALL
+            FROM lines GROUP BY ALL
         ) LEFT JOIN stores USING (store_key)""",
+    "sold": """
+        SELECT date_key, store_key, count(DISTINCT txn_id) AS ticket_count,
+            count(DISTINCT txn_id) AS transaction_count,
+            count(DISTINCT txn_id) * 14 // 10 AS traffic_estimate
+        FROM lines WHERE return_flag <> 'R' GROUP BY ALL""",
     "base": """
         SELECT b.*, c.* EXCLUDE (date_key, date_value), chain_format, open_m2, ticket_count,
             transaction_count, traffic_estimate
         FROM store_day b JOIN calendar c USING (date_key) JOIN stores s USING (store_key)
-            LEFT JOIN kpi k ON k.date_key = b.date_key AND k.store_key = b.store_key""",
+            LEFT JOIN sold k ON k.date_key = b.date_key AND k.store_key = b.store_key""",
     "fact_store_day": f"""
         SELECT b.*,
             sum(b.net_sales) OVER (PARTITION BY b.store_key, b.commerce_year, b.commerce_month

@@ -15,6 +15,7 @@ def spark(tmp_path_factory):
         "local[8]",
         **{
             "spark.sql.shuffle.partitions": "8",
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8",
             "spark.ui.enabled": "false",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),

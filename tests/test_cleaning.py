@@ -36,7 +36,7 @@ def test_product(spark):
     )
     assert rows(entities.PRODUCT.cleaned(raw)) == [
         (7, "0000123456789", Dec("12.5"), None, "KG", None),
-        (8, "1234567890123", Dec("3"), Dec("3"), "PACK", Dec("1.235")),
+        (8, "12345678901234", Dec("3"), Dec("3"), "PACK", Dec("1.235")),
     ]
 
 
@@ -84,11 +84,13 @@ def test_malformed_numbers_become_null_and_fail_the_suite(spark):
         "date_key store_key product_key unit_qty gross_sales net_sales discount_amount "
         "tax_amount cost_amount ticket_count line_count promo_line_count",
         ("20250101", "one", "1", *["1"] * 9),
+        ("20250101", "1", "1", "1", "1", "-5", *["1"] * 6),
     )
     cleaned = entities.DAILY_SALES.cleaned(raw)
+    assert [r["store_key"] for r in entities.DAILY_SALES.rejected(raw).collect()] == ["one"]
     failed = entities.DAILY_SALES.checked(cleaned).where("not passed")
     assert [(r["expectation_type"], r["column"]) for r in failed.collect()] == [
-        ("expect_column_values_to_not_be_null", "store_key"),
+        ("expect_column_values_to_be_between", "net_sales"),
         ("overall", ""),
     ]
 

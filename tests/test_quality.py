@@ -92,9 +92,11 @@ def test_row_gates(df):
     valid = F.col("x") > 1
     assert q.keep_valid(df, valid).count() == 2
     assert rows(q.count_dropped(df, valid)) == [(2, 1)]
-    assert q.require(df.where("x is not null"), "x", valid, "bad").count() == 2
+    assert q.require(df.where("x > 1"), valid, "bad").count() == 2
     with pytest.raises(Exception, match="bad row"):
-        q.require(df, "x", valid, "bad row").collect()
+        q.require(df, valid, "bad row").collect()
+    with pytest.raises(Exception, match="bad row"):
+        q.require(df, valid, "bad row").select(F.lit(1)).collect()
 
 
 @pytest.mark.parametrize(

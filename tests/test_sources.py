@@ -39,7 +39,7 @@ def test_json_document_and_override(spark, tmp_path):
         (1, "x"), (2, "y"),
     ]
     (tmp_path / "l.csv").write_text("a;b\n1;q\n")
-    got = raw.read_raw(spark, str(tmp_path / "l.csv"), "csv", options={"sep": ";"}, spread=3)
+    got = raw.read_raw(spark, str(tmp_path / "l.csv"), "csv", options={"sep": ";"})
     assert rows(got) == [(1, "q")]
 
 

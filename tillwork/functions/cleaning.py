@@ -48,8 +48,13 @@ def flag(c: str) -> Column:
 
 
 def left_padded(width: int, fill: str = "0") -> Rule:
-    """Pads to ``width``; like SQL lpad it also cuts what is longer."""
-    return lambda c: F.lpad(F.col(c).cast("string"), width, fill)
+    """Pads to ``width``; a longer value stays whole, for a length check to name."""
+
+    def padded(c: str) -> Column:
+        value = F.col(c).cast("string")
+        return F.when(F.length(value) < width, F.lpad(value, width, fill)).otherwise(value)
+
+    return padded
 
 
 def one_of(allowed: Iterable[str], fallback: str) -> Rule:

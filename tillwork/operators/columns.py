@@ -11,7 +11,7 @@ from ..functions.cleaning import Rule
 from ..functions.measures import MONEY
 from ..functions.retail_calendar import date_key
 
-LINEAGE_COLUMNS = ("_ingestion_ts", "_load_id", "_source_file")
+LINEAGE_COLUMNS = ("_ingestion_ts", "_load_id", "_source_file", "_arrived")
 UPDATE_STAMP = "sil_updated_ts"
 
 

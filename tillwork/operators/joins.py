@@ -49,10 +49,13 @@ def year_ago_by_window(
     """Values of the row ``lag_days`` earlier, as a one-day range frame.
 
     ``values`` maps source columns to output names. ``df`` must hold one row per
-    (entity, day), which also bounds a window partition by the number of days.
+    (entity, day), which also bounds a window partition by the number of days. A
+    row without a day has no row before it: the frame of a NULL would hold all
+    rows without a day.
     """
     then = Window.partitionBy(entity).orderBy(F.unix_date(day)).rangeBetween(-lag_days, -lag_days)
-    return df.withColumns({out: F.max(c).over(then) for c, out in values.items()})
+    known = F.col(day).isNotNull()
+    return df.withColumns({out: F.when(known, F.max(c).over(then)) for c, out in values.items()})
 
 
 def month_close_by_window(
@@ -68,7 +71,9 @@ def month_close_by_window(
     leap_day = F.col(key) % 10_000 == 229
     return df.withColumns(
         {
-            out: F.when(leap_day, F.max(c).over(clamped)).otherwise(F.max(c).over(same))
+            out: F.when(leap_day, F.max(c).over(clamped)).when(
+                F.col(key).isNotNull(), F.max(c).over(same)
+            )
             for c, out in values.items()
         }
     )

@@ -246,10 +246,10 @@ def count_dropped(df: DataFrame, condition: Column) -> DataFrame:
     return df.agg(F.count_if(ok).alias("kept"), F.count_if(~ok).alias("dropped"))
 
 
-def require(df: DataFrame, column: str, condition: Column, message: str) -> DataFrame:
+def require(df: DataFrame, condition: Column, message: str) -> DataFrame:
     """Fail the query on a row for which the condition is false or NULL.
 
-    The test rides on ``column``, so it runs wherever that column is computed.
+    The test is a filter, which stays in the plan whatever columns are read later.
     """
-    checked = F.when(condition, F.col(column)).otherwise(F.raise_error(F.lit(message)))
-    return df.withColumn(column, checked)
+    failed = F.raise_error(F.lit(message)).cast("boolean")
+    return df.where(F.when(condition, F.lit(True)).otherwise(failed))

@@ -30,7 +30,6 @@ def gated_sales(raw: DataFrame) -> DataFrame:
     )
     gated = q.require(
         q.keep_valid(typed, F.expr(VALID_KEYS)),
-        "net_sales",
         F.col("net_sales") >= 0,
         "net_sales_non_negative",
     )

@@ -8,14 +8,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from ..functions import cleaning as c
 from ..functions.measures import STOCK_STATES
 from ..operators import quality as q
-from ..operators.columns import apply_rules
-from ..operators.dedupe import keep_first
+from ..operators.columns import apply_rules, drop_lineage
+from ..operators.dedupe import keep_first, keep_last
 
 # Value lists the suites and the cleaning rules refer to.
 STORE_STATUSES = ("Active", "Planned")
@@ -26,6 +28,9 @@ CATEGORIES = (
 )
 EAN_WIDTH = 13
 
+# Lineage columns that tell which delivery of a row is the newer one.
+DELIVERY = ("_ingestion_ts", "_arrived")
+
 # The table names, keys and suite contents of the entities below are fixed values
 # as well: they are what users of the published tables rely on.
 
@@ -45,10 +50,25 @@ class Entity:
     checks: Sequence[q.Check]
     clean: Callable[[DataFrame], DataFrame] | None = None
 
-    def cleaned(self, raw: DataFrame) -> DataFrame:
+    def cleaned(self, raw: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+        """Typed rows, one for each key; of several the last in ``order``, as far as ``raw``
+        has these columns. Rows whose key cannot be read are not in it, see ``rejected``."""
         if self.clean is not None:
             return self.clean(raw)
-        return keep_first(apply_rules(raw, self.rules), self.keys)
+        typed = apply_rules(raw, self.rules).where(self._keyed())
+        present = [c for c in order if c in raw.columns]
+        return drop_lineage(
+            keep_last(typed, self.keys, present) if present else keep_first(typed, self.keys)
+        )
+
+    def rejected(self, raw: DataFrame) -> DataFrame:
+        """Raw rows as they came whose key, once typed, is NULL in part or as a whole."""
+        rules = {k: self.rules[k] for k in self.keys if k in self.rules}
+        marked = raw.withColumns({f"_typed_{k}": rules[k](k) if k in rules else F.col(k) for k in self.keys})
+        return marked.where(~self._keyed("_typed_")).select(*raw.columns)
+
+    def _keyed(self, prefix: str = "") -> Column:
+        return reduce(lambda a, b: a & b, [F.col(f"{prefix}{k}").isNotNull() for k in self.keys])
 
     def checked(self, df: DataFrame, threshold: float = q.DEFAULT_THRESHOLD) -> DataFrame:
         return q.evaluate(df, self.checks, threshold)

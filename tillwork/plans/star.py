@@ -89,8 +89,8 @@ def store_day_base(
     """Sales per day and store with calendar, store and ticket attributes.
 
     ``sales`` may have any grain finer than (day, store). Without a ``calendar``
-    table its attributes are computed from the key; with one, days that it does
-    not hold drop out. Stores that ``stores`` does not hold drop out in any case.
+    table its attributes are computed from the key and keys that are no day drop
+    out; with one, days that it does not hold drop out. Stores that ``stores`` does not hold drop out in any case.
 
     The fact is rolled up before it joins, so a hot store joins as one row a day.
     Tickets join first, on the keys the rollup is already partitioned by; stores
@@ -103,8 +103,9 @@ def store_day_base(
         days, up_to(kpi, as_of), ["date_key", "store_key"], tickets, "left"
     )
     if calendar is None:
+        dated = days.withColumn("date_value", day_of_key("date_key"))
         days = attach_calendar(
-            days.withColumn("date_value", day_of_key("date_key")), "date_value", STORE_DAY_CALENDAR
+            dated.where(F.col("date_value").isNotNull()), "date_value", STORE_DAY_CALENDAR
         )
     else:
         days = joins.join_calendar(days, calendar, STORE_DAY_CALENDAR)

@@ -35,14 +35,13 @@ def read_raw(
     fmt: str,
     schema: str | None = None,
     options: Mapping[str, str] | None = None,
-    spread: int | None = None,
 ) -> DataFrame:
     """Raw files as a DataFrame; callers' options win over the defaults.
 
     With a schema nothing is inferred and no extra pass runs. Without one, CSV
-    columns are inferred. A gzip or multi-line file is one task whatever its size:
-    ``spread`` redistributes its rows before heavy work, and large plain files are
-    better read with ``multiLine`` off so that Spark splits them.
+    columns are inferred. A gzip or multi-line file is one task whatever its size;
+    a ``rebalance`` hint on the result deals its rows out before heavy work, and large
+    plain files are better read with ``multiLine`` off so that Spark splits them.
     """
     chosen = {**READER_OPTIONS.get(fmt, {}), **(options or {})}
     reader = spark.read.format(fmt)
@@ -50,19 +49,7 @@ def read_raw(
         reader = reader.schema(schema)
     elif fmt == "csv":
         chosen.setdefault("inferSchema", "true")
-    df = reader.options(**chosen).load(path)
-    return df.repartition(spread) if spread else df
-
-
-def spread_scan(df: DataFrame) -> DataFrame:
-    """Deal rows out when a scan has fewer splits than the session has cores.
-
-    One small file is one split, and everything up to the first shuffle would run
-    on one core. A table of many splits is returned as it is: at size this adds
-    no shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return reader.options(**chosen).load(path)
 
 
 def load_id(table: str, at: dt.datetime | None = None) -> str:
@@ -91,7 +78,8 @@ def with_lineage(df: DataFrame, load: str, source: Column | str | None = None) -
 
 
 def read_feed(spark: SparkSession, root: str, feed: Feed) -> DataFrame:
-    df = read_raw(spark, source_path(root, feed.path, feed.directory), feed.fmt, feed.schema)
+    path = source_path(root, feed.path, feed.directory)
+    df = read_raw(spark, path, feed.fmt, feed.schema, feed.options)
     return with_lineage(df, load_id(feed.table))
 
 

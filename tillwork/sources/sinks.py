@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.quality import settled
-from ..session import fresh_dir
+from ..operators.upsert import new_version, overwrite_partitions, partition_columns, point_to
+from ..session import fresh_dir, remove
 
 
 def create_schema(spark: SparkSession, name: str, location: str | None = None) -> str:
@@ -50,14 +51,24 @@ def write_clustered(df: DataFrame, path: str, columns: Sequence[str], files: int
     return path
 
 
-def recluster_table(spark: SparkSession, table: str, columns: Sequence[str]) -> str:
-    """Compact and cluster a table: written beside the old files, then switched to."""
-    path = write_clustered(
-        spark.table(table), fresh_dir(spark, table.replace(".", "_")), columns
-    )
-    spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
-    spark.catalog.refreshTable(table)
-    return path
+def recluster_table(spark: SparkSession, table: str, columns: Sequence[str]) -> None:
+    """Compact and cluster a table.
+
+    A table without partitions is written beside its old files and then switched to them. Of a
+    partitioned one each partition is replaced by its rows in order, from a staged copy, so that
+    the last step can be repeated.
+    """
+    parts = partition_columns(spark, table)
+    if not parts:
+        point_to(spark, table, write_clustered(spark.table(table), new_version(spark, table), columns))
+        return
+    staged = fresh_dir(spark, "recluster")
+    spark.table(table).write.parquet(staged)
+    ordered = [*parts, *(c for c in columns if c not in parts)]
+    copy = spark.read.schema(spark.table(table).schema).parquet(staged)
+    ranged = copy.repartitionByRange(*ordered).sortWithinPartitions(*ordered)
+    overwrite_partitions(spark, ranged, table, parts)
+    remove(spark, staged)
 
 
 def _named(results: DataFrame) -> Column:

@@ -28,7 +28,8 @@ def file_stream(
     reader = spark.readStream.format(fmt).schema(schema).options(**READER_OPTIONS.get(fmt, {}))
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return with_lineage(reader.load(path), f"stream:{table}")
+    loaded = reader.load(path).withColumn("_arrived", F.col("_metadata.file_modification_time"))
+    return with_lineage(loaded, f"stream:{table}", F.col("_metadata.file_path"))
 
 
 def drain_to_table(stream: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
@@ -37,7 +38,8 @@ def drain_to_table(stream: DataFrame, table: str, checkpoint: str) -> StreamingQ
     The checkpoint makes each file count exactly once over restarts.
     """
     query = (
-        stream.writeStream.outputMode("append")
+        stream.drop("_arrived")
+        .writeStream.outputMode("append")
         .format("parquet")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -48,13 +50,24 @@ def drain_to_table(stream: DataFrame, table: str, checkpoint: str) -> StreamingQ
 
 
 def drain_to_upsert(
-    stream: DataFrame, table: str, keys: Sequence[str], checkpoint: str, clean=None
+    stream: DataFrame,
+    table: str,
+    keys: Sequence[str],
+    checkpoint: str,
+    clean=None,
+    order: Sequence[str] = ("_arrived",),
 ) -> StreamingQuery:
-    """Drain into a keyed table; a replayed micro-batch leaves it unchanged."""
+    """Drain into a keyed table; a replayed micro-batch leaves it unchanged.
+
+    Of several versions of a key in one micro-batch the last one in ``order`` counts; by default
+    that is the one from the file that was written last. ``clean`` may drop rows and keeps the
+    order columns; what it returns need not be unique.
+    """
 
     def take(batch: DataFrame, _: int) -> None:
         cleaned = clean(batch) if clean else batch
-        upsert_table(batch.sparkSession, cleaned, table, keys, unique=clean is not None)
+        present = [c for c in order if c in cleaned.columns]
+        upsert_table(batch.sparkSession, cleaned, table, keys, order=present)
 
     query = (
         stream.writeStream.foreachBatch(take)
