@@ -436,10 +436,11 @@ def _index(parts: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
         single.join(often, "gram")
         .withColumn("rank", F.row_number().over(by_class.orderBy("classes", "gram")))
         .withColumn("shared", F.count("*").over(by_class))
-        .withColumn("weight", F.avg(F.log2("classes")).over(by_class))
+        .withColumn("common", F.avg(F.log2("classes")).over(by_class))
     )
     return (
         ranked.join(sizes, "class")
+        .withColumn("weight", F.struct(F.col("shared") / F.col("n"), "common"))
         .where(F.col("rank") <= F.col("shared") - _needed(F.col("n"), percent) + 1)
         .select("gram", "class", "weight", "rank", "shared", "n")
     )
