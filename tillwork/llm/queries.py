@@ -20,6 +20,7 @@ from tillwork.llm import (
     template_tree,
     vertical_join,
 )
+from tillwork.llm.oracles import SQL  # noqa: F401
 from tillwork.llm.shipping import ship
 from tillwork.session import fresh_dir
 
@@ -128,5 +129,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_vertical_join": op9_vertical_join,
     "op10_id_files": op10_id_files,
 }
-
-SQL: dict[str, str] = {}

@@ -427,8 +427,9 @@ def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
 def _index(parts: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """Entries (gram, class, weight, rank, shared, n): the rarest shared n-grams of each class,
     as many as a link cannot miss. ``rank`` is the gram's place among the ``shared`` ones, which
-    other near copies have too; ``n`` is the size of the set. The weight is higher for classes whose n-grams are more frequent, such as the
-    text that others were copied from."""
+    other near copies have too; ``n`` is the size of the set. The weight ranks classes by the
+    share of their n-grams that others have too, which is all of them for the text that others
+    were copied from, and then by how frequent these are."""
     single = parts.select("class", F.explode("grams").alias("gram"))
     often = single.groupBy("gram").agg(F.count("*").alias("classes")).where("classes > 1")
     by_class = Window.partitionBy("class")
