@@ -47,7 +47,7 @@ def test_rule_counts_against_a_loop(corpus):
 
 
 def test_rules_filter_keeps_columns_and_empty_tables(corpus):
-    good = " ".join(["the quick fox and a dog of that town was seen"] + [f"near hill{k} by the river" for k in range(12)])
+    good = " ".join(["the quick fox and a dog of that town was seen"] + [f"near hill{k} by the river{k}" for k in range(12)])
     docs = clashing(corpus, (1, good), (2, "#### " * 80), (3, None), (4, good))
     kept = quality_rules.filter_documents(docs)
     assert kept.columns == docs.columns
