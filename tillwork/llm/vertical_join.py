@@ -47,7 +47,7 @@ from tillwork.llm.words import ascii_words, filled, mixed, slices, word_hashes
 
 FRAGMENT = 2_000_000
 LEAST_FRAGMENTS = 64
-SLABS = 8  # fragments of near copies are verified in so many groups
+SLABS = 2  # near copies are few: their fragments are verified in so many groups
 LOW_BITS = 40
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
