@@ -203,6 +203,28 @@ def test_repeated_lines_keep_the_earliest(corpus):
     assert line_hashing.repeated_units(corpus(*docs).where("false")).count() == 0
 
 
+def test_repeated_passages_in_short_lines_and_inside_lines(corpus):
+    words = [f"word{k}" for k in range(60)]
+    short = "\n".join(" ".join(words[k : k + 6]) for k in range(0, 60, 6))
+    wrapped = "\n".join(" ".join(words[k : k + 10]) for k in range(0, 60, 10))
+    said = " ".join(words[:14]) + ". " + " ".join(words[14:30]) + "."
+    common = [f"Common line {k}" for k in range(12)]
+    docs = [
+        (1, f"own one\n\n{short}\n\nend one"),
+        (2, f"own two\n{short}\nend two"),
+        (3, f"own three\n\n{wrapped}\n\nend three"),
+        (4, f"First here. {said} Last here."),
+        (5, f"Another begin. {said} Another end."),
+        *((20 + k, f"before {k}\n{line}\nafter {k}") for k, line in enumerate(common)),
+        (40, "\n".join(common)),
+    ]
+    removed = line_hashing.repeated_units(corpus(*docs))
+    cut = {r.doc_id: r.text for r in line_hashing.without_units(corpus(*docs), removed).collect()}
+    assert cut[2] == "own two\nend two" and cut[3] == "own three\n\n\nend three"
+    assert cut[5] == "Another begin. Another end."
+    assert all(cut[k] == text for k, text in docs if k not in (2, 3, 5))
+
+
 def test_pipeline_stages_take_effect(spark, tmp_path):
     rng = random.Random(2)
     stop = "the of and to in is that with".split()
