@@ -225,6 +225,27 @@ def test_repeated_passages_in_short_lines_and_inside_lines(corpus):
     assert all(cut[k] == text for k, text in docs if k not in (2, 3, 5))
 
 
+def test_repeated_rows_and_null_ids_are_cut_each_by_itself(corpus):
+    lines = [" ".join(f"{name}{k}" for k in range(30)) for name in "abc"]
+    docs = [
+        *[(9, f"one\n{lines[0]}")] * 3,
+        (9, f"two\n{lines[0]}"),
+        (None, f"three\n{lines[1]}"),
+        (None, f"four\n{lines[1]}"),
+        *[(None, f"five\n{lines[2]}")] * 2,
+        (None, None),
+        (12, f"six\n{lines[1]}\nend"),
+    ]
+    table = clashing(corpus, *docs).repartition(3)
+    cut = line_hashing.without_units(table, line_hashing.repeated_units(table)).collect()
+    assert len(cut) == len(docs)
+    for line in lines:
+        assert sum((r.text or "").count(line) for r in cut) == 1
+    assert sorted(r.text for r in cut if r.doc_id == 12) == ["six\nend"]
+    assert [sum(r.text == "" for r in cut if r.doc_id == k) for k in (9, None)] == [2, 1]
+    assert sum(r.text in ("three\n", "four\n") for r in cut) == 1
+
+
 def test_pipeline_stages_take_effect(spark, tmp_path):
     rng = random.Random(2)
     stop = "the of and to in is that with".split()

@@ -1,21 +1,23 @@
 """Substring dedup by hashing lines.
 
 Texts are cut into pieces at line ends and after sentences; case, punctuation and white space of a
-piece do not matter. Hashed units are the pieces, lines, sentences (also over several lines of a
-paragraph), paragraphs, and pairs of neighbouring pieces or sentences. Digests are grouped over
-the whole corpus. A unit is repeated if an equal one ends before it or stands in an earlier
+piece do not matter. Hashed units are all pairs of neighbouring pieces or sentences, and of the
+pieces, lines, sentences (also over several lines of a paragraph) and paragraphs those of
+``min_words`` words or more; a shorter one can only go with a neighbour, which a pair finds.
+Digests are grouped over the whole corpus. A unit is repeated if an equal one ends before it or stands in an earlier
 document, by document id. Repeated units that share a piece form a run; runs of ``min_words``
 words or more are removed, so that short lines go where they repeat in the same order, and not
 where each of them is common by itself. The earliest occurrence stays. Results hold the original
 offsets of what is removed, in code points.
 
 Scale: rows are narrow (an id, offsets and a 16-byte digest). A piece is in at most eight units,
-so that their number grows with the text alone. The earliest occurrence is a grouped minimum,
+mostly in two, so that their number grows with the text alone. The earliest occurrence is a grouped minimum,
 combined before the shuffle; the join back has one row for a digest on the other side, so that
 Spark can split a line that a third of all documents hold. Runs are formed inside one text.
 
 Edge cases: a null or empty text has no units. Repeated rows are different occurrences; the
-later ones lose their units. Null ids rank first. Pieces that become empty when normalised belong
+later ones lose their units, and the first keeps them. Null ids rank first; rows with one id and
+several texts rank by a hash of the text. Pieces that become empty when normalised belong
 to the piece before them. Other columns are not read. Long texts and lines are read whole. An
 empty table gives no rows.
 
@@ -40,10 +42,13 @@ from tillwork.llm.encoding import starts_of
 from tillwork.llm.words import filled, numpy_of, slices
 
 UNITS = (
-    "doc_id long, row long, first long, last long, start long, end long, word long, n_words long, digest binary"
+    "doc_id long, text_hash long, row long, first long, last long, start long, end long, word long, n_words long, "
+    "digest binary"
 )
+UNIT_COLUMNS = [c.split()[0] for c in UNITS.split(", ")]
 REMOVED = (
-    "doc_id long, start long, end long, n_words long, digest string, kept_doc_id long, kept_start long"
+    "doc_id long, start long, end long, n_words long, digest string, kept_doc_id long, kept_start long, "
+    "text_hash long, later boolean"
 )
 
 # What ends a sentence, inside a line and at its end.
@@ -97,14 +102,14 @@ def _pieces(texts: pa.Array) -> dict:
     }
 
 
-def _ranges(p: dict) -> tuple[np.ndarray, np.ndarray]:
+def _ranges(p: dict, min_words: int) -> tuple[np.ndarray, np.ndarray]:
     """First and last piece of every unit."""
     n = len(p["start"])
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     new_paragraph = np.append(True, p["paragraph"][1:] != p["paragraph"][:-1])
     new_sentence = new_paragraph | np.append(True, p["stops"][:-1])
-    found = []
+    before, found = starts_of(p["words"]), []
     for changes, pairs in (
         (np.ones(n, bool), True),
         (p["new_line"], False),
@@ -112,39 +117,44 @@ def _ranges(p: dict) -> tuple[np.ndarray, np.ndarray]:
         (new_paragraph, False),
     ):
         first, last = _bounds(changes)
-        found.append(first * n + last)
+        enough = before[last] + p["words"][last] - before[first] >= min_words
+        found.append((first * n + last)[enough])
         if pairs:
             same = p["owner"][first[1:]] == p["owner"][first[:-1]]
             found.append((first[:-1] * n + last[1:])[same])
     return np.divmod(np.unique(np.concatenate(found)), n)
 
 
-def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    row = TaskContext.get().partitionId() << 33
-    for batch in batches:
-        for part in slices(batch):
-            p = _pieces(filled(part.column("text")))
-            first, last = _ranges(p)
-            owner, plain, before = p["owner"][first], p["plain"], starts_of(p["words"])
-            digests = [
-                hashlib.blake2b(" ".join(plain[a : b + 1]).encode(), digest_size=16).digest()
-                for a, b in zip(first.tolist(), last.tolist())
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column("doc_id").take(pa.array(owner)),
-                    pa.array(row + owner),
-                    pa.array(first),
-                    pa.array(last),
-                    pa.array(p["start"][first]),
-                    pa.array(p["end"][last]),
-                    pa.array(before[first]),
-                    pa.array(before[last] + p["words"][last] - before[first]),
-                    pa.array(digests, pa.binary()),
-                ],
-                names=["doc_id", "row", "first", "last", "start", "end", "word", "n_words", "digest"],
-            )
-            row += part.num_rows
+def _units(min_words: int):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            for part in slices(batch):
+                p = _pieces(filled(part.column("text")))
+                first, last = _ranges(p, min_words)
+                owner, plain, before = p["owner"][first], p["plain"], starts_of(p["words"])
+                digests = [
+                    hashlib.blake2b(" ".join(plain[a : b + 1]).encode(), digest_size=16).digest()
+                    for a, b in zip(first.tolist(), last.tolist())
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("doc_id").take(pa.array(owner)),
+                        part.column("text_hash").take(pa.array(owner)),
+                        pa.array(row + owner),
+                        pa.array(first),
+                        pa.array(last),
+                        pa.array(p["start"][first]),
+                        pa.array(p["end"][last]),
+                        pa.array(before[first]),
+                        pa.array(before[last] + p["words"][last] - before[first]),
+                        pa.array(digests, pa.binary()),
+                    ],
+                    names=UNIT_COLUMNS,
+                )
+                row += part.num_rows
+
+    return rows
 
 
 def in_runs(found: list[dict], min_words: int) -> list[dict]:
@@ -161,57 +171,82 @@ def in_runs(found: list[dict], min_words: int) -> list[dict]:
     for run in runs:
         if max(u["word"] + u["n_words"] for u in run) - run[0]["word"] >= min_words:
             covered: set[int] = set()
-            for unit in sorted(run, key=lambda u: u["last"] - u["first"]):
-                pieces = range(unit["first"], unit["last"] + 1)
-                if not covered.issuperset(pieces):
-                    covered.update(pieces)
-                    out.append(unit)
+            narrow = sorted(run, key=lambda u: u["last"] - u["first"])
+            for apart in (True, False):
+                for unit in narrow:
+                    pieces = range(unit["first"], unit["last"] + 1)
+                    if covered.isdisjoint(pieces) if apart else not covered.issuperset(pieces):
+                        covered.update(pieces)
+                        out.append(unit)
     return out
 
 
 def _runs(min_words: int):
     names = [c.split()[0] for c in REMOVED.split(", ")]
-    kinds = {"long": pa.int64(), "string": pa.string()}
+    kinds = {"long": pa.int64(), "string": pa.string(), "boolean": pa.bool_()}
     types = [kinds[c.split()[1]] for c in REMOVED.split(", ")]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[] for _ in names]
-            for found in batch.column("found"):
-                for unit in in_runs(found.as_py(), max(min_words, 1)):
+            keys = (batch.column(c).to_pylist() for c in ("doc_id", "text_hash", "later"))
+            for found, *key in zip(batch.column("found"), *keys):
+                own = dict(zip(("doc_id", "text_hash", "later"), key))
+                for unit in in_runs(found.as_py(), min_words):
+                    values = unit | own | {"digest": unit["digest"].hex()}
                     for column, name in zip(out, names):
-                        column.append(unit["digest"].hex() if name == "digest" else unit[name])
+                        column.append(values[name])
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=names)
 
     return rows
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
+
+
+def _with_later(table: DataFrame, rows: DataFrame) -> DataFrame:
+    """``table`` with ``later``: of the ``rows`` that repeat an id and a text, this is not the first."""
+    several = (
+        rows.groupBy(F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_hash"))
+        .agg(F.min("row").alias("first_row"), F.max("row").alias("last_row"))
+        .where("first_row < last_row")
+        .drop("last_row")
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("text_hash") == F.col("of_hash"))
+    later = F.coalesce(F.col("row") > F.col("first_row"), F.lit(False))
+    return table.join(several, same, "left").withColumn("later", later).drop("of_id", "of_hash", "first_row")
+
+
 def repeated_units(docs: DataFrame, min_words: int = 25) -> DataFrame:
     """What is to be removed: ``doc_id``, ``start``, ``end``, ``n_words``, the ``digest`` in
     hexadecimal, and ``kept_doc_id`` and ``kept_start`` of the occurrence that stays. Spans of
-    one text can overlap where a wider unit is needed beside a narrow one."""
-    units = stored(docs.select("doc_id", "text").mapInArrow(_units, UNITS), "units")
+    one text can overlap where a wider unit is needed beside a narrow one. ``text_hash`` and
+    ``later`` tell rows with the same id apart: of rows that repeat an id and a text, the first has
+    ``later`` false, and all others have it true and lose the same units."""
+    units = stored(_keyed(docs).mapInArrow(_units(min_words), UNITS), "units")
     earliest = (
         units.groupBy("digest")
-        .agg(F.min(F.struct("doc_id", "row", "start", "end")).alias("kept"), F.count("*").alias("times"))
+        .agg(F.min(F.struct("doc_id", "text_hash", "row", "start", "end")).alias("kept"), F.count("*").alias("times"))
         .where("times > 1")
         .select("digest", "kept")
     )
-    unit = ("doc_id", "first", "last", "start", "end", "word", "n_words", "digest")
-    return (
+    unit = ("first", "last", "start", "end", "word", "n_words", "digest")
+    found = (
         units.join(earliest, "digest")
         .where((F.col("row") != F.col("kept.row")) | (F.col("start") >= F.col("kept.end")))
         .select(
+            "doc_id",
+            "text_hash",
             "row",
             F.struct(
                 *unit, F.col("kept.doc_id").alias("kept_doc_id"), F.col("kept.start").alias("kept_start")
             ).alias("unit"),
         )
-        .groupBy("row")
+        .groupBy("row", "doc_id", "text_hash")
         .agg(F.collect_list("unit").alias("found"))
-        .select("found")
-        .mapInArrow(_runs(min_words), REMOVED)
     )
+    return _with_later(found, units).mapInArrow(_runs(min_words), REMOVED)
 
 
 def merged(spans: list[dict]) -> list[dict]:
@@ -227,8 +262,16 @@ def merged(spans: list[dict]) -> list[dict]:
 
 def without_units(docs: DataFrame, removed: DataFrame) -> DataFrame:
     """``doc_id``, the ``text`` without its removed units, and ``removed``, their spans in the
-    original text. For tables without repeated or null ids."""
-    spans = removed.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("removed"))
+    original text, for every row of ``docs``, from which ``removed`` was made."""
+    spans = removed.groupBy(
+        F.col("doc_id").alias("in_id"), F.col("text_hash").alias("in_hash"), F.col("later").alias("in_later")
+    ).agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("removed"))
+    numbered = stored(_keyed(docs).withColumn("row", F.monotonically_increasing_id()), "numbered")
+    same = (
+        F.col("doc_id").eqNullSafe(F.col("in_id"))
+        & (F.col("text_hash") == F.col("in_hash"))
+        & (F.col("later") == F.col("in_later"))
+    )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -243,5 +286,5 @@ def without_units(docs: DataFrame, removed: DataFrame) -> DataFrame:
                 names=["doc_id", "text", "removed"],
             )
 
-    joined = docs.select("doc_id", "text").join(spans, "doc_id", "left")
+    joined = _with_later(numbered, numbered.drop("text")).join(spans, same, "left").select("doc_id", "text", "removed")
     return joined.mapInArrow(cut, "doc_id long, text string, removed array<struct<start:long,end:long>>")
