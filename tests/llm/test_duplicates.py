@@ -183,6 +183,19 @@ def test_templates_generalise_variable_words(corpus):
     assert got == {0: 0, 1: 1, 2: 1, 3: 1, 4: 1}
 
 
+def test_all_templates_of_a_leaf_are_found(corpus):
+    forms = [
+        "we are glad that {} came to our small shop today",
+        "we are glad with every order of {} sent by mail",
+        "we are glad because new {} items were found last week",
+        "we are glad if your {} car was repaired without delay",
+    ]
+    names = ["anna", "bob", "carl"]
+    docs = [(10 * k + j, form.format(n)) for k, form in enumerate(forms) for j, n in enumerate(names)]
+    got = {r.doc_id: r.n_dropped for r in template_tree.cleaned(corpus(*docs)).collect()}
+    assert sum(got.values()) == 8
+
+
 def test_repeated_lines_keep_the_earliest(corpus):
     long_line = " ".join(f"Word{k}," for k in range(30))
     docs = [

@@ -4,8 +4,10 @@ A line's path in the tree is its number of tokens and its first ``depth`` tokens
 with digits count as a variable field. The lines of a leaf are generalised by vote: at each
 position the token that most documents agree on is part of the leaf's template, every other token
 there is a variable field. A line belongs to the template if it agrees with it in at least
-``similarity`` of its tokens; the lines that do not agree vote once more among themselves, and what
-is left then stands for itself. Lines of templates that ``min_docs`` documents have are dropped,
+``similarity`` of its tokens; the lines that do not agree vote again among themselves. A leaf
+whose vote finds no template that ``min_docs`` documents support is split by the place with the
+strongest token that not all its lines share, and its parts vote. What is left when nothing can be
+split stands for itself. Lines of templates that ``min_docs`` documents have are dropped,
 except for the first in document order.
 
 Scale: only leaves that ``min_docs`` documents reach can hold such a template, and only leaves with
@@ -64,31 +66,56 @@ def _bounded(leaves: DataFrame) -> DataFrame:
 
 
 def _generalised(shapes: DataFrame, min_docs: int, similarity: float) -> tuple[DataFrame, DataFrame]:
-    """(shape, leaf) of the lines that agree with their leaf's template, and those that do not."""
+    """(shape, leaf) of the lines that agree with their leaf's template, and the lines that can
+    still vote, in leaves that are split where the vote found no supported template."""
     spread = shapes.select(
         "leaf", "shape", "docs", F.size("tokens").alias("n"), F.posexplode("tokens").alias("place", "token")
     )
-    votes = (
-        spread.groupBy("leaf", "place", "token")
-        .agg(F.sum("docs").alias("docs"))
-        .where(F.col("docs") >= min_docs)
-        .groupBy("leaf", "place")
-        .agg(F.max(F.struct("docs", "token"))["token"].alias("token"))
+    counts = stored(
+        spread.groupBy("leaf", "place", "token").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs),
+        "counts",
     )
+    votes = counts.groupBy("leaf", "place").agg(F.max(F.struct("docs", "token"))["token"].alias("token"))
     agreeing = stored(
         spread.where(F.col("token") != FIELD)
         .join(votes, ["leaf", "place", "token"])
-        .groupBy("leaf", "shape", "n")
+        .groupBy("leaf", "shape", "n", "docs")
         .agg(F.count("*").alias("same"))
         .where(F.col("same") >= F.col("n") * similarity)
-        .select("leaf", "shape"),
+        .select("leaf", "shape", "docs"),
         "agreeing",
     )
-    return agreeing, shapes.join(agreeing, ["leaf", "shape"], "left_anti")
+    found = stored(
+        agreeing.groupBy("leaf").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs).select("leaf"),
+        "found",
+    )
+    named = agreeing.join(found, "leaf").select("leaf", "shape")
+    again = shapes.join(found, "leaf", "left_semi").join(named, ["leaf", "shape"], "left_anti")
+    return named, again.unionByName(_split(shapes.join(found, "leaf", "left_anti"), counts, min_docs))
+
+
+def _split(shapes: DataFrame, counts: DataFrame, min_docs: int) -> DataFrame:
+    """The lines dealt into leaves by their token at the strongest place that is not constant;
+    tokens of fewer than ``min_docs`` documents share a leaf. Leaves without such a place go."""
+    whole = shapes.groupBy("leaf").agg(F.sum("docs").alias("all"))
+    at = (
+        counts.join(whole, "leaf")
+        .where("docs < all")
+        .groupBy("leaf")
+        .agg(F.max(F.struct("docs", "place", "token"))["place"].alias("at"))
+    )
+    tokens = counts.select("leaf", F.col("place").alias("at"), F.col("token").alias("own"), F.lit(True).alias("known"))
+    return (
+        shapes.join(at, "leaf")
+        .withColumn("own", F.get("tokens", "at"))
+        .join(tokens, ["leaf", "at", "own"], "left")
+        .withColumn("leaf", F.xxhash64("leaf", "at", F.when(F.col("known"), F.col("own"))))
+        .select(*shapes.columns)
+    )
 
 
 def templates(
-    docs: DataFrame, depth: int = 3, similarity: float = 0.7, min_docs: int = 3, rounds: int = 2
+    docs: DataFrame, depth: int = 3, similarity: float = 0.7, min_docs: int = 3
 ) -> tuple[DataFrame, DataFrame]:
     """The lines whose leaf ``min_docs`` documents reach, as (key, line_no, shape), and the
     template of each shape, as (shape, template)."""
@@ -114,18 +141,20 @@ def templates(
     )
     open_shapes = stored(texts.join(support, ["leaf", "shape"]), "shapes")
     named = support.select("shape", F.col("shape").alias("template")).where("false")
-    for turn in range(rounds):
-        agreeing, open_shapes = _generalised(open_shapes, min_docs, similarity)
+    turn = 0
+    while not open_shapes.isEmpty():
+        agreeing, left = _generalised(open_shapes, min_docs, similarity)
         label = F.unhex(F.md5(F.concat_ws(":", F.lit(turn), "leaf").cast("binary")))
         named = named.union(agreeing.select("shape", label.alias("template")))
+        open_shapes, turn = stored(left, "shapes"), turn + 1
     return places.select("key", "line_no", "shape"), named
 
 
 def dropped_lines(
-    docs: DataFrame, depth: int = 3, similarity: float = 0.7, min_docs: int = 3, rounds: int = 2
+    docs: DataFrame, depth: int = 3, similarity: float = 0.7, min_docs: int = 3
 ) -> DataFrame:
     """(key, lines): the numbers of the lines that go, for documents that lose any."""
-    places, named = templates(docs, depth, similarity, min_docs, rounds)
+    places, named = templates(docs, depth, similarity, min_docs)
     placed = stored(
         places.join(named, "shape", "left").select(
             "key", "line_no", F.coalesce("template", "shape").alias("template")
