@@ -196,6 +196,13 @@ def test_all_templates_of_a_leaf_are_found(corpus):
     assert sum(got.values()) == 8
 
 
+def test_fields_do_not_count_against_a_template(corpus):
+    names = ["alice", "bob", "carol"]
+    docs = [(k, f"2024-01-0{k + 5} 12:0{k}:44 [4{k}] user {n} logged in id=7{k}") for k, n in enumerate(names)]
+    got = {r.doc_id: r.n_dropped for r in template_tree.cleaned(corpus(*docs)).collect()}
+    assert got == {0: 0, 1: 1, 2: 1}
+
+
 def test_repeated_lines_keep_the_earliest(corpus):
     long_line = " ".join(f"Word{k}," for k in range(30))
     docs = [

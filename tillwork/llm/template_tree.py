@@ -4,7 +4,7 @@ A line's path in the tree is its number of tokens and its first ``depth`` tokens
 with digits count as a variable field. The lines of a leaf are generalised by vote: at each
 position the token that most documents agree on is part of the leaf's template, every other token
 there is a variable field. A line belongs to the template if it agrees with it in at least
-``similarity`` of its tokens; the lines that do not agree vote again among themselves. A leaf
+``similarity`` of its tokens, those left out that are fields in both; the lines that do not agree vote again among themselves. A leaf
 whose vote finds no template that ``min_docs`` documents support is split by the place with the
 strongest token that not all its lines share, and its parts vote. What is left when nothing can be
 split stands for itself. Lines of templates that ``min_docs`` documents have are dropped,
@@ -77,11 +77,11 @@ def _generalised(shapes: DataFrame, min_docs: int, similarity: float) -> tuple[D
     )
     votes = counts.groupBy("leaf", "place").agg(F.max(F.struct("docs", "token"))["token"].alias("token"))
     agreeing = stored(
-        spread.where(F.col("token") != FIELD)
-        .join(votes, ["leaf", "place", "token"])
+        spread.join(votes, ["leaf", "place", "token"])
         .groupBy("leaf", "shape", "n", "docs")
-        .agg(F.count("*").alias("same"))
-        .where(F.col("same") >= F.col("n") * similarity)
+        .agg(F.count_if(F.col("token") != FIELD).alias("same"), F.count_if(F.col("token") == FIELD).alias("fields"))
+        .where("same > 0")
+        .where(F.col("same") >= (F.col("n") - F.col("fields")) * similarity)
         .select("leaf", "shape", "docs"),
         "agreeing",
     )
