@@ -203,6 +203,13 @@ def test_fields_do_not_count_against_a_template(corpus):
     assert got == {0: 0, 1: 1, 2: 1}
 
 
+def test_lines_that_share_their_path_alone_stay(corpus):
+    docs = [(k, f"My name is {n}") for k, n in enumerate(["Anna", "Bob", "Eve"])]
+    docs += [(10 + k, "My name is Legion") for k in range(3)]
+    got = {r.doc_id: r.n_dropped for r in template_tree.cleaned(corpus(*docs)).collect()}
+    assert got == {0: 0, 1: 0, 2: 0, 10: 0, 11: 1, 12: 1}
+
+
 def test_repeated_lines_keep_the_earliest(corpus):
     long_line = " ".join(f"Word{k}," for k in range(30))
     docs = [

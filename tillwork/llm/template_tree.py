@@ -4,7 +4,8 @@ A line's path in the tree is its number of tokens and its first ``depth`` tokens
 with digits count as a variable field. The lines of a leaf are generalised by vote: at each
 position the token that most documents agree on is part of the leaf's template, every other token
 there is a variable field. A line belongs to the template if it agrees with it in at least
-``similarity`` of its tokens, those left out that are fields in both; the lines that do not agree vote again among themselves. A leaf
+``similarity`` of its tokens, those left out that are fields in both, and in at
+least one token behind the path, as the path alone shows nothing; the lines that do not agree vote again among themselves. A leaf
 whose vote finds no template that ``min_docs`` documents support is split by the place with the
 strongest token that not all its lines share, and its parts vote. What is left when nothing can be
 split stands for itself. Lines of templates that ``min_docs`` documents have are dropped,
@@ -65,7 +66,9 @@ def _bounded(leaves: DataFrame) -> DataFrame:
     return F.broadcast(leaves) if leaves.count() <= BROADCAST_LEAVES else leaves
 
 
-def _generalised(shapes: DataFrame, min_docs: int, similarity: float) -> tuple[DataFrame, DataFrame]:
+def _generalised(
+    shapes: DataFrame, depth: int, min_docs: int, similarity: float
+) -> tuple[DataFrame, DataFrame]:
     """(shape, leaf) of the lines that agree with their leaf's template, and the lines that can
     still vote, in leaves that are split where the vote found no supported template."""
     spread = shapes.select(
@@ -79,8 +82,12 @@ def _generalised(shapes: DataFrame, min_docs: int, similarity: float) -> tuple[D
     agreeing = stored(
         spread.join(votes, ["leaf", "place", "token"])
         .groupBy("leaf", "shape", "n", "docs")
-        .agg(F.count_if(F.col("token") != FIELD).alias("same"), F.count_if(F.col("token") == FIELD).alias("fields"))
-        .where("same > 0")
+        .agg(
+            F.count_if(F.col("token") != FIELD).alias("same"),
+            F.count_if(F.col("token") == FIELD).alias("fields"),
+            F.count_if((F.col("token") != FIELD) & (F.col("place") >= depth)).alias("behind"),
+        )
+        .where("behind > 0")
         .where(F.col("same") >= (F.col("n") - F.col("fields")) * similarity)
         .select("leaf", "shape", "docs"),
         "agreeing",
@@ -143,7 +150,7 @@ def templates(
     named = support.select("shape", F.col("shape").alias("template")).where("false")
     turn = 0
     while not open_shapes.isEmpty():
-        agreeing, left = _generalised(open_shapes, min_docs, similarity)
+        agreeing, left = _generalised(open_shapes, depth, min_docs, similarity)
         label = F.unhex(F.md5(F.concat_ws(":", F.lit(turn), "leaf").cast("binary")))
         named = named.union(agreeing.select("shape", label.alias("template")))
         open_shapes, turn = stored(left, "shapes"), turn + 1
