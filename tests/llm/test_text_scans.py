@@ -103,6 +103,17 @@ def test_patience_alignment(corpus):
     assert license_alignment.increasing([3, 1, 2, 9, 4]) in ([1, 2, 4], [1, 2, 3])
 
 
+def test_notices_that_a_text_holds_twice(corpus):
+    texts = dict(license_alignment.TEMPLATES)
+    docs = [(1, texts["MIT-text"] + " some code here " + texts["MIT-text"])]
+    docs += [(2, texts["All-rights-reserved"] + " all the rights that we reserved for all " + texts["All-rights-reserved"])]
+    docs += [(3, LONG + " " + texts["GPL-3.0"] + " this work is licensed " + LONG + " " + texts["GPL-3.0"])]
+    got = {r.doc_id: r for r in license_alignment.scan(corpus(*docs)).collect()}
+    assert [got[k].license for k in (1, 2, 3)] == ["MIT-text", "All-rights-reserved", "GPL-3.0"]
+    assert all(got[k].coverage == 1.0 for k in got)
+    assert [got[1].start, got[2].start] == [0, 0]
+
+
 def test_classifier_learns_and_repeats(spark, corpus):
     good = [(k, f"the house number{k} of a good street and the garden w{k}") for k in range(60)]
     bad = [(k, f"junk### $$buy{k}$$ now*** ***cheap{k}%%") for k in range(60, 120)]

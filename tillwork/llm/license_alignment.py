@@ -6,6 +6,8 @@ sorting; matches grow from the anchors word by word, and the gaps between them a
 same way until nothing is unique. A template's coverage is the share of its words that are
 aligned. A document has the license whose coverage is at least ``coverage``, over a stretch that
 is at most ``stretch`` times as long as the template; of several, the one with most aligned words.
+Every stretch of that length that can hold enough of the template's words, and begins with one of
+them, is aligned by itself, so that a word is unique in its stretch and not in the whole text.
 
 Scale: one pass without a shuffle. The words of a batch are coded once; only documents that hold
 enough of a template's different words are aligned with it, which loses nothing, as coverage needs
@@ -165,6 +167,38 @@ def best_stretch(pairs: list[tuple[int, int]], room: int) -> list[tuple[int, int
     return pairs[best[0] : best[1]]
 
 
+def stretches(words: list[str], template: tuple[str, ...], room: int, coverage: float) -> list[tuple[int, int]]:
+    """Places of the stretches of ``room`` words that begin with a word of the template and hold
+    enough of its words, each counted as often as the template has it."""
+    in_template = Counter(template)
+    places = [k for k, w in enumerate(words) if w in in_template]
+    held: Counter[str] = Counter()
+    total, high, out = 0, 0, []
+    for low in places:
+        while high < len(places) and places[high] < low + room:
+            word = words[places[high]]
+            held[word] += 1
+            total += held[word] <= in_template[word]
+            high += 1
+        if total >= coverage * len(template):
+            out.append((low, min(low + room, len(words))))
+        total -= held[words[low]] <= in_template[words[low]]
+        held[words[low]] -= 1
+    return out
+
+
+def best_alignment(words: list[str], template: tuple[str, ...], room: int, coverage: float) -> list[tuple[int, int]]:
+    """The most aligned pairs of the text as a whole or of one stretch; of equal ones the first."""
+    best = best_stretch(aligned(words, list(template)), room)
+    for low, high in stretches(words, template, room, coverage):
+        if len(best) == len(template):
+            break
+        pairs = aligned(words[low:high], list(template))
+        if len(pairs) > len(best):
+            best = [(p + low, q) for p, q in pairs]
+    return best
+
+
 def found_in(
     text: str, templates: list[Template], coverage: float, stretch: float
 ) -> list[tuple[str, float, int, int, int]]:
@@ -175,7 +209,7 @@ def found_in(
     out = []
     for template in templates:
         size = len(template.words)
-        pairs = best_stretch(aligned(words, list(template.words)), max(size, int(size * stretch)))
+        pairs = best_alignment(words, template.words, max(size, int(size * stretch)), coverage)
         if len(pairs) >= coverage * size:
             start, end = spots[pairs[0][0]][1], spots[pairs[-1][0]][2]
             out.append((template.name, len(pairs) / size, len(pairs), start, end))
