@@ -114,6 +114,14 @@ def test_notices_that_a_text_holds_twice(corpus):
     assert [got[1].start, got[2].start] == [0, 0]
 
 
+def test_sample_has_one_row_for_each_id(spark, corpus):
+    ids = [k for k in range(30)]
+    labels = spark.createDataFrame([(k, k % 2) for k in ids], "doc_id long, quality int")
+    docs = [(k, f"text {j} of {k}") for k in ids for j in range(4)] + [(k, None) for k in ids]
+    once = subword_classifier.sample(corpus(*docs), labels).count()
+    assert once == labels.where(~subword_classifier.held_out(F.col("doc_id"))).count()
+
+
 def test_classifier_learns_and_repeats(spark, corpus):
     good = [(k, f"the house number{k} of a good street and the garden w{k}") for k in range(60)]
     bad = [(k, f"junk### $$buy{k}$$ now*** ***cheap{k}%%") for k in range(60, 120)]

@@ -14,7 +14,8 @@ that amount for each bucket, ``BUCKETS`` numbers. Each distinct word of a batch
 
 Edge cases: a null or empty text has the score of the classes' bias. Repeated rows are scored one
 by one. Labels with null id or null quality are not used, of repeated ones the largest counts.
-A null ``doc_id`` is not held out. Other columns are not read. Without labelled documents all
+A null ``doc_id`` is not held out. Of rows that repeat a labelled id, the text with the smallest
+hash trains, so that the bound holds for rows. Other columns are not read. Without labelled documents all
 scores are 0.5. Texts are read whole; an empty table gives no rows.
 """
 
@@ -126,7 +127,13 @@ def sample(docs: DataFrame, labels: DataFrame, bound: int = MAX_TRAINING) -> Dat
         .limit(bound),
         "chosen",
     )
-    texts = docs.select("doc_id", "text").join(chosen, "doc_id").select("quality", "text")
+    texts = (
+        docs.select("doc_id", "text")
+        .join(chosen, "doc_id")
+        .groupBy("doc_id", "quality")
+        .agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+        .select("quality", "text")
+    )
     return texts.mapInArrow(_sample_features, FEATURES)
 
 
