@@ -153,6 +153,25 @@ def test_proximity_matches(spark, corpus):
     assert found(slop=1, least=0.75) == [1, 2]
 
 
+def test_proximity_without_the_rarest_word(spark, corpus):
+    passage = [f"p{k}" for k in range(13)]
+    items = spark.createDataFrame([(1, " ".join(passage)), (2, "absent " + " ".join(f"q{k}" for k in range(12)))], "item_id long, text string")
+    edited = [*passage[:6], "other", *passage[7:]]
+    docs = corpus(
+        (1, " ".join(["x", *edited, "y"])),
+        (2, " ".join(passage)),
+        (3, " ".join(passage[1:])),
+        (4, "common " + " ".join(f"q{k}" for k in range(12))),
+        (5, " ".join([*edited[:9], "else", *edited[10:]])),
+        *((10 + k, " ".join(w for w in passage if w != "p6")) for k in range(2)),
+        (20, None),
+    )
+    got = {r.key.doc_id: (r.n_exact, r.n_near) for r in positional_index.hits(docs, items, slop=0).collect()}
+    assert [got[k] for k in (1, 2, 3, 4, 5, 20)] == [(0, 1), (1, 1), (0, 1), (0, 1), (0, 0), (0, 0)]
+    near, _, _ = positional_index.matches(corpus((1, " ".join(["p6", *edited[:6], *edited[7:]]))), items, slop=1, least=0.9)
+    assert near.count() > 0
+
+
 def test_plan_of_decontamination_has_no_python(spark, corpus):
     items = spark.createDataFrame([(1, "alpha beta")], "item_id long, text string")
     plan = positional_index.contamination(corpus((1, "alpha beta")), items)._jdf.queryExecution().toString()

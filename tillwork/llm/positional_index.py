@@ -7,7 +7,8 @@ each document's length. Anchor postings, moved back by the anchor's place in its
 places where a window can start; for exact phrases the lists of all anchors must meet there. The
 positions that the window's other terms must have are then intersected with the postings of the
 documents that are left, and places where all lists meet are exact phrases; with ``slop``, terms
-may be off their place, and with ``least``, some may be missing, which gives proximity matches.
+may be off their place, and with ``least``, some may be missing, which gives proximity matches. Of a
+window that may miss k places, the k + 1 rarest places are its anchors, as one of them is met.
 
 Scale: the anchors' postings are a small part of the corpus, as rare terms are chosen by corpus
 counts; term counts are combined before their shuffle. Test terms, anchors and candidate
@@ -87,6 +88,20 @@ def _anchors(windows: DataFrame, counts: DataFrame) -> DataFrame:
     return rare.join(first, ["id", "term"])
 
 
+def _near_anchors(windows: DataFrame, counts: DataFrame, least: float) -> DataFrame:
+    """(id, term, place): of each window, as many of its rarest places as may be missing, and one
+    more; a term that the corpus lacks is the rarest."""
+    placed = windows.select("id", F.size("terms").alias("size"), F.posexplode("terms").alias("place", "term"))
+    may_miss = F.col("size") - F.ceil(F.col("size") * F.lit(least)).cast("int")
+    return (
+        placed.join(counts, "term", "left")
+        .groupBy("id", "size")
+        .agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)), "place", "term"))).alias("terms"))
+        .select("id", F.explode(F.slice("terms", F.lit(1), may_miss + 1)).alias("rare"))
+        .select("id", "rare.term", "rare.place")
+    )
+
+
 def matches(
     docs: DataFrame, items: DataFrame, window: int = 13, slop: int = 0, least: float = 1.0
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -95,8 +110,7 @@ def matches(
     Occurrences: ``key``, ``id`` of the window, ``start``, ``length``, ``found`` (terms that are
     within ``slop`` words of their place; at least the share ``least`` of the window).
     Windows: ``id``, ``item_id``. Lengths: ``key``, ``n_words``, a row for each document row.
-    With ``least`` below 1 a window must still have its anchor in place, and all its terms
-    somewhere in the corpus.
+    A proximity match can begin before its text, where the first terms are missing.
     """
     cut = stored(windows_of(items, window), "windows")
     of_items = cut.select(F.concat_ws(" ", "terms").alias("id"), "item_id")
@@ -105,28 +119,32 @@ def matches(
     counts = stored(
         _tokens(docs).join(terms, "term").groupBy("term").agg(F.count("*").alias("n")), "counts"
     )
-    anchors = stored(_anchors(windows, counts), "anchors")
+    exact = slop == 0 and least >= 1.0
+    anchors = stored(_anchors(windows, counts) if exact else _near_anchors(windows, counts, least), "anchors")
     wanted = stored(
         anchors.select("term").union(docs.sparkSession.range(1).select(F.lit("").alias("term"))).distinct(),
         "wanted",
     )
     postings = stored(_tokens(docs).join(wanted, "term").select("key", "pos", "term"), "postings")
     lengths = postings.where("term = ''").select("key", F.col("pos").cast("long").alias("n_words"))
-    exact = slop == 0 and least >= 1.0
-    usable = anchors if exact else anchors.where("rank = 0")
-    start = (F.col("pos") - F.col("place")).alias("start")
-    met = (
-        postings.where("term <> ''")
-        .join(usable, "term")
-        .select("key", start, "id", "rank", "anchors")
-        .where("start >= 0")
-        .groupBy("key", "start", "id", "anchors")
-        .agg(F.count_distinct("rank").alias("ranks"))
-        .where(F.col("ranks") == F.col("anchors") if exact else F.lit(True))
-    )
+    shifts = F.sequence(F.lit(-slop), F.lit(slop))
+    met = postings.where("term <> ''").join(anchors, "term")
+    if exact:
+        met = (
+            met.select("key", (F.col("pos") - F.col("place")).alias("start"), "id", "rank", "anchors")
+            .where("start >= 0")
+            .groupBy("key", "start", "id", "anchors")
+            .agg(F.count_distinct("rank").alias("ranks"))
+            .where(F.col("ranks") == F.col("anchors"))
+        )
+    else:
+        met = (
+            met.select("key", "pos", "place", "id", F.explode(shifts).alias("shift"))
+            .select("key", (F.col("pos") - F.col("place") - F.col("shift")).alias("start"), "id")
+            .distinct()
+        )
     candidates = stored(met.select("key", "start", "id"), "candidates")
     suspects = stored(candidates.select("key").distinct(), "suspects")
-    shifts = F.sequence(F.lit(-slop), F.lit(slop))
     needed = (
         candidates.join(windows, "id")
         .select("key", "start", "id", F.size("terms").alias("length"), F.posexplode("terms").alias("place", "term"))
@@ -144,6 +162,20 @@ def matches(
     return stored(occurrences, "occurrences"), of_items, lengths
 
 
+def hits(docs: DataFrame, items: DataFrame, window: int = 13, slop: int = 1, least: float = 0.9) -> DataFrame:
+    """``key``, ``n_words``, ``n_exact`` and ``n_near`` (windows that the text holds as they are,
+    and as proximity matches, exact ones included) for every row of ``docs``."""
+    exact, _, lengths = matches(docs, items, window)
+    near, _, _ = matches(docs, items, window, slop, least)
+
+    def counted(found: DataFrame, name: str) -> DataFrame:
+        return found.select("key", "id").distinct().groupBy("key").agg(F.count("*").alias(name))
+
+    both = counted(near, "n_near").join(counted(exact, "n_exact"), "key", "left")
+    number = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_exact", "n_near")]
+    return lengths.join(both, "key", "left").select("key", "n_words", *number)
+
+
 def contamination(docs: DataFrame, items: DataFrame, window: int = 13, share: int = 20) -> DataFrame:
     """``key``, ``n_words``, ``n_hit`` (words inside any exact occurrence), ``item_ids`` and
     ``contaminated`` (``share`` times the hit words are at least all words) for every row."""

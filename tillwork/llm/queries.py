@@ -85,6 +85,12 @@ def op5_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_proximity_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows that every document holds, exact and as proximity matches."""
+    found = positional_index.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("key.doc_id", "n_words", "n_exact", "n_near")
+
+
 def op6_subword_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, trained on labels outside the held-out part."""
     docs = table(spark, sf_dir, "documents")
@@ -123,6 +129,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secret_ledger": op3_secret_ledger,
     "op4_line_hashing": op4_line_hashing,
     "op5_positional_index": op5_positional_index,
+    "op5_proximity_hits": op5_proximity_hits,
     "op6_subword_classifier": op6_subword_classifier,
     "op7_curve_packing": op7_curve_packing,
     "op8_quality_rules": op8_quality_rules,
