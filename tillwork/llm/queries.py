@@ -9,13 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwork.llm import (
+    bayesian_minhash,
     curve_packing,
     id_files,
     license_alignment,
     line_hashing,
     positional_index,
+    prefix_trie,
     quality_rules,
     secret_ledger,
+    spelling_blocks,
     subword_classifier,
     template_tree,
     vertical_join,
@@ -65,7 +68,7 @@ def op3_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_line_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Repeated lines of 25 words or more in all documents, with original offsets."""
+    """Runs of repeated units of 25 words or more in all documents, with original offsets."""
     return line_hashing.repeated_units(table(spark, sf_dir, "documents"))
 
 
@@ -123,6 +126,23 @@ def op10_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_files.documents(spark, folder)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of rebuilt conversations, with members, ends and subtree sums."""
+    return prefix_trie.trie(prefix_trie.rebuilt(table(spark, sf_dir, "conversations")))
+
+
+def op12_bayesian_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents on four-word shingles, similarity 0.8."""
+    found = bayesian_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+    return found.select("key.doc_id", "n_shingles", "component_id", "class_id").select("*", kept)
+
+
+def op13_spelling_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the vocabulary with its near words, form and root."""
+    return spelling_blocks.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_template_tree": op1_template_tree,
     "op2_license_alignment": op2_license_alignment,
@@ -135,4 +155,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_vertical_join": op9_vertical_join,
     "op10_id_files": op10_id_files,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_bayesian_minhash": op12_bayesian_minhash,
+    "op13_spelling_blocks": op13_spelling_blocks,
 }
