@@ -30,13 +30,3 @@ def schema(spark):
     from parity.queries import own_schema
 
     return own_schema(spark, "test")
-
-
-def rows(df, *order):
-    return [tuple(r) for r in df.orderBy(*(order or df.columns)).collect()]
-
-
-def plan(df, mode="simple"):
-    jvm = df.sparkSession._jvm
-    kind = jvm.org.apache.spark.sql.execution.ExplainMode.fromString(mode)
-    return df._jdf.queryExecution().explainString(kind)

@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import plan, rows
+from helpers import plan, rows
 from pyspark.sql import functions as F
 
 from tillwork.functions import retail_calendar as rc

@@ -1,7 +1,7 @@
 import datetime as dt
 from decimal import Decimal as Dec
 
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from tillwork.operators.columns import cast_keys, cast_money, drop_lineage, keys_first, up_to

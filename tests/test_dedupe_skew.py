@@ -1,4 +1,4 @@
-from conftest import plan
+from helpers import plan
 from pyspark.sql import functions as F
 
 from tillwork.operators.dedupe import keep_first, keep_last

@@ -1,7 +1,7 @@
 import os
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from parity.queries import load_layers
 from tillwork.operators.columns import UPDATE_STAMP

@@ -2,7 +2,7 @@ import gzip
 import json
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from tillwork.operators.rollups import row_counts
 from tillwork.operators.upsert import table_exists

@@ -1,4 +1,4 @@
-from conftest import rows
+from helpers import rows
 
 from tillwork.session import fresh_dir
 from tillwork.streaming import intake

@@ -1,5 +1,5 @@
 import pytest
-from conftest import plan, rows
+from helpers import plan, rows
 from pyspark.sql import functions as F
 
 from tillwork.operators.upsert import merged, upsert_partitions, upsert_table

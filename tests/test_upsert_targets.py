@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from tillwork.operators.upsert import table_location, upsert_table

@@ -1,6 +1,6 @@
 import datetime as dt
 
-from conftest import plan, rows
+from helpers import plan, rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
