@@ -3,9 +3,11 @@
 1. Each document is a set of word shingles; documents with the same set are one class, found by a
    digest of the set. A class has a MinHash signature, cut into bands.
 2. Classes with an equal band are members of a bucket. Instead of all pairs of a bucket, its pivots
-   meet its members: one pivot in the first round, twice as many in each further one. Members that
-   are connected already do not meet, a pivot that has met all is done, and a bucket whose members
-   are connected is done, so that a group of near copies costs its size.
+   meet its members: one pivot in the first round, four times as many in each further one. Members
+   that are connected already do not meet, a pivot that has met all is done, and a bucket whose
+   members are connected is done, so that a group of near copies costs its size. Nor do members
+   meet that cannot link: their common part is at most what either shares with any candidate,
+   which is counted beforehand.
 3. A candidate pair's signatures are compared batch by batch. With m of n values equal and a uniform
    prior, the similarity reaches the threshold with the probability that at most m of n + 1 trials
    succeed; pairs for which that falls below ``MISS`` go.
@@ -220,8 +222,7 @@ def _verified(pairs: DataFrame, signs: DataFrame, parts: DataFrame, percent: int
 
 
 def _members(signed: DataFrame) -> DataFrame:
-    """(bucket, class, n, weight) for buckets that several classes share; ``weight`` is the number
-    of a class' buckets, largest for the text that others were made from."""
+    """(bucket, class, n) for buckets that several classes share."""
     spread = signed.where(F.col("signature").isNotNull()).select(
         F.explode("bands").alias("bucket"), "class", F.col("n_shingles").alias("n")
     )
@@ -232,10 +233,44 @@ def _members(signed: DataFrame) -> DataFrame:
         .select("bucket"),
         "buckets",
     )
-    held = stored(spread.join(several, "bucket"), "held").distinct()
-    held = stored(held, "members")
-    weights = stored(held.groupBy("class").agg(F.count("*").alias("weight")), "weights")
-    return held.join(weights, "class").select("bucket", "class", "n", "weight")
+    return stored(spread.join(several, "bucket"), "held").distinct()
+
+
+def _can_link(n, shared, other, percent: int):
+    """Whether a set of n, of which ``shared`` are in other sets, can link with one of ``other``."""
+    return shared * (100 + percent) >= (n + other) * percent
+
+
+def _weighed(members: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """Members with ``shared``, how many of a class' shingles other candidates have, and ``weight``,
+    the number of its buckets: it is largest for the text that others were made from. Members that
+    can link with none of their bucket go."""
+    single = parts.select("class", F.explode("grams").alias("gram"))
+    often = stored(
+        single.groupBy("gram")
+        .agg(F.min("class").alias("low"), F.max("class").alias("high"))
+        .where("low <> high")
+        .select("gram"),
+        "often",
+    )
+    shared = single.join(often, "gram").groupBy("class").agg(F.count("*").alias("shared"))
+    weights = members.groupBy("class").agg(F.count("*").alias("weight"))
+    counted = stored(weights.join(shared, "class"), "counted")
+    named = stored(members.join(counted, "class"), "weighed")
+    return _live(named, percent)
+
+
+def _live(members: DataFrame, percent: int) -> DataFrame:
+    """Members of buckets with several labels that can link with the smallest set there."""
+    buckets = stored(
+        members.groupBy("bucket")
+        .agg(F.min("n").alias("least"), F.min("label").alias("low"), F.max("label").alias("high"))
+        .where("low <> high")
+        .select("bucket", "least"),
+        "open",
+    )
+    able = _can_link(F.col("n"), F.col("shared"), F.col("least"), percent)
+    return stored(members.join(buckets, "bucket").where(able).drop("least"), "live")
 
 
 def _candidates(members: DataFrame, tested: DataFrame, pivots: int, percent: int) -> DataFrame:
@@ -244,12 +279,13 @@ def _candidates(members: DataFrame, tested: DataFrame, pivots: int, percent: int
     chosen = stored(
         members.withColumn("place", F.row_number().over(first))
         .where(F.col("place") <= pivots)
-        .select("bucket", *(F.col(c).alias(f"p_{c}") for c in ("class", "n", "label"))),
+        .select("bucket", *(F.col(c).alias(f"p_{c}") for c in ("class", "n", "label", "shared"))),
         "pivots",
     )
     size = F.least("n", "p_n") * 100 >= F.greatest("n", "p_n") * percent
     forward = F.col("class") < F.col("p_class")
-    met = members.join(chosen, "bucket").where((F.col("label") != F.col("p_label")) & size)
+    able = _can_link(F.col("n"), F.least("shared", "p_shared"), F.col("p_n"), percent)
+    met = members.join(chosen, "bucket").where((F.col("label") != F.col("p_label")) & size & able)
     return (
         met.select(
             F.least("class", "p_class").alias("a"),
@@ -262,28 +298,17 @@ def _candidates(members: DataFrame, tested: DataFrame, pivots: int, percent: int
     )
 
 
-def _unfinished(members: DataFrame, labels: DataFrame, pivots: int) -> DataFrame:
+def _unfinished(members: DataFrame, labels: DataFrame, pivots: int, percent: int) -> DataFrame:
     """Members with their new labels, without pivots that have met all, of buckets that are not
     connected."""
     first = Window.partitionBy("bucket").orderBy(F.desc("weight"), "class")
-    left = stored(
-        members.withColumn("place", F.row_number().over(first)).where(F.col("place") > pivots).drop("place", "label"),
-        "left",
-    )
-    named = stored(
-        left.join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn(
-            "label", F.coalesce("label", "class")
-        ),
-        "labelled",
-    )
-    open_buckets = stored(
-        named.groupBy("bucket")
-        .agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        .where("low <> high")
-        .select("bucket"),
-        "open",
+    left = members.withColumn("place", F.row_number().over(first)).where(F.col("place") > pivots)
+    named = (
+        left.drop("place", "label")
+        .join(labels.withColumnRenamed("node", "class"), "class", "left")
+        .withColumn("label", F.coalesce("label", "class"))
     )
-    return stored(named.join(open_buckets, "bucket"), "unfinished")
+    return _live(stored(named, "labelled"), percent)
 
 
 def near_duplicates(
@@ -317,6 +342,7 @@ def near_duplicates(
         "parts",
     )
     spark = docs.sparkSession
+    members = _weighed(members, parts, percent)
     links = tested = spark.createDataFrame([], "a long, b long")
     labels = spark.createDataFrame([], "node long, label long")
     pivots = 1
@@ -325,8 +351,8 @@ def near_duplicates(
         links = stored(links.unionByName(_verified(pairs, chosen, parts, percent, miss)), "links")
         tested = stored(tested.unionByName(pairs.select("a", "b")), "tested")
         labels = stored(components(links), "labels")
-        members = _unfinished(members, labels, pivots)
-        pivots *= 2
+        members = _unfinished(members, labels, pivots, percent)
+        pivots *= 4
     named = classes.join(labels, F.col("class") == F.col("node"), "left").select(
         "class", "check", "class_id", F.coalesce("label", "class").alias("label")
     )
