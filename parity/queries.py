@@ -1474,4 +1474,6 @@ def _(spark, d):
     return declared.store_day(spark.table(sales), r.calendar(spark, d))
 
 
+from . import maintained  # noqa: E402, F401  registers its queries here
+
 __all__ = ["QUERIES", "SQL"]

@@ -95,3 +95,16 @@ def test_bad_keys_are_set_apart_and_counted(spark, schema):
     assert [r.observed for r in bad] == ["2 rows"]
     assert rows(spark.table(f"{schema}.sil_store_rejected").select("store_key", "name")) == [("x", "b"), ("y", "c")]
     assert rows(spark.table(f"{schema}.sil_store").select("store_key", "name")) == [(1, "a")]
+
+
+def test_older_version_in_a_later_batch_loses(spark, schema):
+    for name, parts in (("plain", []), ("parts", ["day"])):
+        table = f"{schema}.versions_{name}"
+        first = spark.createDataFrame([(1, "new", 5, 1), (2, "b", None, 1)], "k int, v string, at int, day int")
+        sinks.replace_table(first, table, parts)
+        late = [(1, "old", 4, 1), (2, "B", 1, 2), (3, "c", None, 1), (3, "d", 2, 1)]
+        upsert_table(spark, spark.createDataFrame(late, first.schema), table, ["k"], versions=["at"])
+        got = rows(spark.table(table).select("k", "v", "at", "day"))
+        assert got == [(1, "new", 5, 1), (2, "B", 1, 2), (3, "d", 2, 1)]
+        upsert_table(spark, spark.createDataFrame([(1, "same", 5, 1)], first.schema), table, ["k"], versions=["at"])
+        assert rows(spark.table(table).where("k = 1").select("v")) == [("same",)]

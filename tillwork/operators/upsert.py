@@ -7,7 +7,9 @@ added, none deleted.
 
 What a batch does not say stays: columns it lacks keep their stored values. Its
 values are cast to the stored types, and a value that does not fit raises. Of
-several rows for a key the last one in ``order`` counts.
+several rows for a key the last one in ``order`` counts. With ``versions``, columns that are stored
+with the rows, a row that is older than the stored one for its key is left out, so that a late
+delivery of old values loses in whatever batch it comes.
 
 A partitioned target is rewritten where the batch touches it and nowhere else.
 Another target becomes a new version beside the old one, beneath its schema's
@@ -61,6 +63,21 @@ def merged(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFram
     return untouched.unionByName(completed(target, batch, keys), allowMissingColumns=True)
 
 
+def not_older(target: DataFrame, batch: DataFrame, keys: Sequence[str], versions: Sequence[str]) -> DataFrame:
+    """The batch without rows that are older than the target's row for their key.
+
+    Versions are compared column by column; NULL is older than any value. Of equal versions the
+    batch's row stays.
+    """
+
+    def version(side: str):
+        return F.struct(*(F.col(f"{side}.{v}") for v in versions))
+
+    stored = target.select(*keys, *(v for v in versions if v not in keys)).alias("t")
+    later = null_safe_match("b", "t", keys) & (version("t") > version("b"))
+    return batch.alias("b").join(stored, later, "left_anti")
+
+
 def table_exists(spark: SparkSession, table: str) -> bool:
     return spark.catalog.tableExists(table)
 
@@ -141,12 +158,15 @@ def upsert_table(
     unique: bool = False,
     order: Sequence[str] = (),
     done: Callable[[DataFrame], None] | None = None,
+    versions: Sequence[str] = (),
 ) -> None:
     """Upsert ``batch`` into ``table``, creating it on first use.
 
     A failed job leaves the old state in place, and a repeat of the same batch gives the same
-    table. ``done`` is called with the batch as it was staged, which lasts until it returns.
+    table. ``done`` is called with the batch as it was staged, which lasts until it returns; rows
+    that lose against newer stored ones are in it. ``versions`` also orders the batch's rows.
     """
+    order = order or versions
     if not table_exists(spark, table):
         path = new_version(spark, table)
         fresh = stage_batch(spark, batch, keys, path, unique, order)
@@ -156,16 +176,22 @@ def upsert_table(
         return
     staged = fresh_dir(spark, "batch")
     fresh = stage_batch(spark, batch, keys, staged, unique, order)
+    winning, won = fresh, fresh_dir(spark, "winning")
+    if versions:
+        # Written, so that the stored versions are read once and before the table changes.
+        not_older(spark.table(table), fresh, keys, versions).write.parquet(won)
+        winning = spark.read.schema(fresh.schema).parquet(won)
     columns = partition_columns(spark, table)
     if columns:
-        _rewrite_touched(spark, fresh, table, keys, columns)
+        _rewrite_touched(spark, winning, table, keys, columns)
     else:
         path = new_version(spark, table)
-        merged(spark.table(table), fresh, keys).write.parquet(path)
+        merged(spark.table(table), winning, keys).write.parquet(path)
         point_to(spark, table, path)
     if done is not None:
         done(fresh)
     remove(spark, staged)
+    remove(spark, won)
 
 
 def _places(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.upsert import upsert_table
-from ..sources.raw import READER_OPTIONS, with_lineage
+from ..operators.deltas import DeltaTable
+from ..operators.upsert import table_exists, upsert_table
+from ..sources.feeds import Feed
+from ..sources.raw import READER_OPTIONS, source_path, with_lineage
 
 
 def file_stream(
@@ -32,6 +34,16 @@ def file_stream(
     return with_lineage(loaded, f"stream:{table}", F.col("_metadata.file_path"))
 
 
+def feed_stream(spark: SparkSession, root: str, feed: Feed, max_files: int | None = None) -> DataFrame:
+    """New files of a feed with the schema and reader options that a batch load of it has."""
+    options = {**READER_OPTIONS.get(feed.fmt, {}), **feed.options}
+    reader = spark.readStream.format(feed.fmt).schema(feed.schema).options(**options)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    loaded = reader.load(source_path(root, feed.path, feed.directory))
+    return with_lineage(loaded, f"stream:{feed.table}", F.col("_metadata.file_path"))
+
+
 def drain_to_table(stream: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
     """Take everything that has arrived, once, and stop.
 
@@ -56,19 +68,25 @@ def drain_to_upsert(
     checkpoint: str,
     clean=None,
     order: Sequence[str] = ("_arrived",),
+    versions: Sequence[str] = (),
 ) -> StreamingQuery:
     """Drain into a keyed table; a replayed micro-batch leaves it unchanged.
 
     Of several versions of a key in one micro-batch the last one in ``order`` counts; by default
     that is the one from the file that was written last. ``clean`` may drop rows and keeps the
-    order columns; what it returns need not be unique.
+    order columns; what it returns need not be unique. ``versions`` are stored columns that order
+    deliveries over all micro-batches and drains: a row older than the stored one loses.
     """
 
     def take(batch: DataFrame, _: int) -> None:
         cleaned = clean(batch) if clean else batch
         present = [c for c in order if c in cleaned.columns]
-        upsert_table(batch.sparkSession, cleaned, table, keys, order=present)
+        upsert_table(batch.sparkSession, cleaned, table, keys, order=versions or present, versions=versions)
+
+    return _drained(stream, take, checkpoint)
 
+
+def _drained(stream: DataFrame, take: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     query = (
         stream.writeStream.foreachBatch(take)
         .option("checkpointLocation", checkpoint)
@@ -79,6 +97,35 @@ def drain_to_upsert(
     return query
 
 
+def drain_to_deltas(
+    stream: DataFrame,
+    table: str,
+    keys: Sequence[str],
+    checkpoint: str,
+    versions: Sequence[str] = (),
+    clean=None,
+    compact_after: int | None = None,
+) -> StreamingQuery:
+    """Drain into a table that is merged when it is read: each micro-batch writes its own rows.
+
+    The first micro-batch makes the table. With ``compact_after``, a number of micro-batches, the
+    table is compacted from time to time.
+    """
+
+    def take(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        cleaned = (clean(batch) if clean else batch).drop("_arrived")
+        if not table_exists(spark, table):
+            DeltaTable.create(cleaned, table, keys, versions)
+            return
+        held = DeltaTable(spark, table)
+        held.take(cleaned)
+        if compact_after and number % compact_after == compact_after - 1:
+            held.compact()
+
+    return _drained(stream, take, checkpoint)
+
+
 def table_stream(spark: SparkSession, table: str, load: str) -> DataFrame:
     """A table as a stream, stamped with the time and id of this load."""
     return spark.readStream.table(table).withColumns(
