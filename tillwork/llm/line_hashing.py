@@ -11,9 +11,11 @@ where each of them is common by itself. The earliest occurrence stays. Results h
 offsets of what is removed, in code points.
 
 Scale: rows are narrow (an id, offsets and a 16-byte digest). A piece is in at most eight units,
-mostly in two, so that their number grows with the text alone. The earliest occurrence is a grouped minimum,
-combined before the shuffle; the join back has one row for a digest on the other side, so that
-Spark can split a line that a third of all documents hold. Runs are formed inside one text.
+mostly in two, so that their number grows with the text alone. A first pass counts eight bytes of
+each digest; only units whose count is above one are kept and compared in full. The earliest
+occurrence is a grouped minimum of these. Both joins are of stored tables, with one row for a digest
+on one side, and are written, so that Spark splits a line that a third of all documents hold.
+Runs are formed inside one text.
 
 Edge cases: a null or empty text has no units. Repeated rows are different occurrences; the
 later ones lose their units, and the first keeps them. Null ids rank first; rows with one id and
@@ -225,15 +227,21 @@ def repeated_units(docs: DataFrame, min_words: int = 25) -> DataFrame:
     ``later`` tell rows with the same id apart: of rows that repeat an id and a text, the first has
     ``later`` false, and all others have it true and lose the same units."""
     units = stored(_keyed(docs).mapInArrow(_units(min_words), UNITS), "units")
-    earliest = (
-        units.groupBy("digest")
+    mark = F.xxhash64("digest").alias("mark")
+    several = stored(
+        units.select(mark).groupBy("mark").agg(F.count("*").alias("times")).where("times > 1").select("mark"), "several"
+    )
+    again = stored(units.select("*", mark).join(several, "mark").drop("mark"), "again")
+    earliest = stored(
+        again.groupBy("digest")
         .agg(F.min(F.struct("doc_id", "text_hash", "row", "start", "end")).alias("kept"), F.count("*").alias("times"))
         .where("times > 1")
-        .select("digest", "kept")
+        .select("digest", "kept"),
+        "earliest",
     )
     unit = ("first", "last", "start", "end", "word", "n_words", "digest")
-    found = (
-        units.join(earliest, "digest")
+    met = stored(
+        again.join(earliest, "digest")
         .where((F.col("row") != F.col("kept.row")) | (F.col("start") >= F.col("kept.end")))
         .select(
             "doc_id",
@@ -242,10 +250,10 @@ def repeated_units(docs: DataFrame, min_words: int = 25) -> DataFrame:
             F.struct(
                 *unit, F.col("kept.doc_id").alias("kept_doc_id"), F.col("kept.start").alias("kept_start")
             ).alias("unit"),
-        )
-        .groupBy("row", "doc_id", "text_hash")
-        .agg(F.collect_list("unit").alias("found"))
+        ),
+        "met",
     )
+    found = met.groupBy("row", "doc_id", "text_hash").agg(F.collect_list("unit").alias("found"))
     return _with_later(found, units).mapInArrow(_runs(min_words), REMOVED)
 
 
