@@ -52,7 +52,10 @@ def lines_of(docs: DataFrame, depth: int) -> DataFrame:
     raw = docs.where(F.col("text").isNotNull()).select(
         document_key(docs).alias("key"), F.posexplode(F.split("text", "\n")).alias("line_no", "line")
     )
-    cut = raw.select("key", "line_no", _tokens(F.col("line")).alias("tokens")).where(F.size("tokens") > 0)
+    # Generated, so that the tokens are cut once for all that is made of them.
+    cut = raw.where(F.col("line").rlike(TOKEN)).select(
+        "key", "line_no", F.explode(F.array(_tokens(F.col("line")))).alias("tokens")
+    )
     return cut.select(
         "key",
         "line_no",
@@ -152,7 +155,7 @@ def templates(
     while not open_shapes.isEmpty():
         agreeing, left = _generalised(open_shapes, depth, min_docs, similarity)
         label = F.unhex(F.md5(F.concat_ws(":", F.lit(turn), "leaf").cast("binary")))
-        named = named.union(agreeing.select("shape", label.alias("template")))
+        named = stored(named.union(agreeing.select("shape", label.alias("template"))), "named")
         open_shapes, turn = stored(left, "shapes"), turn + 1
     return places.select("key", "line_no", "shape"), named
 
@@ -172,7 +175,10 @@ def dropped_lines(
         placed.select("template", "key").distinct().groupBy("template").agg(F.count("*").alias("docs"))
     )
     first = placed.groupBy("template").agg(F.min(F.struct("key", "line_no")).alias("first"))
-    recurring = spread.where(F.col("docs") >= min_docs).join(first, "template").select("template", "first")
+    # Stored, so that Spark splits a template that very many lines have.
+    recurring = stored(
+        spread.where(F.col("docs") >= min_docs).join(first, "template").select("template", "first"), "recurring"
+    )
     return (
         placed.join(recurring, "template")
         .where(F.struct("key", "line_no") != F.col("first"))
