@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from tillwork.functions.retail_calendar import date_key
 from tillwork.operators.clustering import zorder_table
 from tillwork.operators.deltas import DeltaTable
-from tillwork.plans import entities, increments, layers
+from tillwork.plans import declared, entities, increments, layers
 from tillwork.session import fresh_dir
 from tillwork.sources import feeds, sinks
-from tillwork.streaming import intake, runs
+from tillwork.streaming import evolution, intake, runs
 
 from . import roles as r
 from .queries import (
@@ -23,6 +23,7 @@ from .queries import (
     LINE_SUM_COLUMNS,
     LINES_SQL,
     SALES_SPEC,
+    SQL,
     UPSERT_COLUMNS,
     UPSERT_SQL,
     landed_feeds,
@@ -142,3 +143,56 @@ def _(spark, d):
         for table, rows in again.items()
     ]
     return functools.reduce(lambda a, b: a.unionByName(b), parts)
+
+
+@query(
+    "stream_takes_wider_files",
+    EVENT_COLUMNS + " columns:i",
+    """SELECT event_id, ts::DATE AS day, user_id, event_type,
+       CASE WHEN ts::DATE >= '2024-01-16' THEN value END AS value, 5 AS columns FROM events""",
+)
+def _(spark, d):
+    """Files with a further column from the second drain on; the schema names only the first four."""
+    source, state, log = (fresh_dir(spark, f"wider-{x}") for x in ("in", "state", "log"))
+    target = f"{own_schema(spark, 'wider')}.events"
+    events = r.event_days(spark, d)
+    narrow = events.where("day < '2024-01-16'").drop("value")
+    for delivery in (narrow, events.where("day >= '2024-01-16'")):
+        delivery.write.mode("append").option("header", "true").csv(source)
+        columns = evolution.drain_evolving(
+            spark, source, "event_id bigint, day date, user_id bigint, event_type string", target, state, log
+        )
+    taken = spark.table(target).withColumn("value", F.col("value").cast("double"))
+    return taken.withColumn("columns", F.lit(len(columns)))
+
+
+@query(
+    "declared_rollup_stream",
+    "date_key:i store_key:i net_sales:d unit_qty:i commerce_period:s mtd_sales:d ytd_sales:d",
+    SQL["declared_chain_from_stream"],
+)
+def _(spark, d):
+    """The store days of the declared chain kept by a stream over three deliveries."""
+    name, state = own_schema(spark, "rollup"), fresh_dir(spark, "rollup-state")
+    sales = r.daily_sales(spark, d)
+    for k in range(3):
+        # Each delivery holds lines of most store days.
+        sinks.append_rows(sales.where(F.col("product_key") % 3 == k), f"{name}.raw_sales")
+        stream = declared.gated_sales(spark.readStream.table(f"{name}.raw_sales"))
+        intake.drain_rollup(stream, ["date_key", "store_key"], ["net_sales", "unit_qty"], f"{name}.days", state)
+    return declared.store_day(spark.table(f"{name}.days"), r.calendar(spark, d))
+
+
+@query(
+    "rows_counted_while_written",
+    "kept:i dropped:i stored:i",
+    """SELECT count(*) FILTER (o_orderstatus <> 'P') AS kept, count(*) FILTER (o_orderstatus = 'P') AS dropped,
+       count(*) FILTER (o_orderstatus <> 'P') AS stored FROM orders""",
+)
+def _(spark, d):
+    """Rows that a condition keeps and drops, counted by the job that writes them."""
+    target = f"{own_schema(spark, 'observed')}.orders"
+    condition = F.when(F.col("o_orderstatus") != "P", F.lit(True))
+    seen = sinks.replace_with_valid(r.table(spark, d, "orders"), condition, target)
+    stored = spark.table(target).agg(F.count("*").alias("stored"))
+    return stored.withColumns({c: F.lit(n) for c, n in seen.items()})

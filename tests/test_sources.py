@@ -3,6 +3,7 @@ import json
 
 import pytest
 from helpers import rows
+from pyspark.sql import functions as F
 
 from tillwork.operators.rollups import row_counts
 from tillwork.operators.upsert import table_exists
@@ -105,3 +106,11 @@ def test_shared_folder_comes_from_the_session(spark, monkeypatch):
 
     with pytest.raises(RuntimeError):
         shared_root(Far)
+
+
+def test_rows_counted_by_the_write(spark, schema):
+    df = spark.createDataFrame([(1,), (2,), (None,), (7,)], "n int")
+    seen = sinks.replace_with_valid(df, F.col("n") < 5, f"{schema}.valid")
+    assert seen == {"kept": 2, "dropped": 2}
+    assert rows(spark.table(f"{schema}.valid")) == [(1,), (2,)]
+    assert sinks.replace_with_valid(df.where("false"), F.col("n") < 5, f"{schema}.none") == {"kept": 0, "dropped": 0}

@@ -142,3 +142,18 @@ def test_gate_raises(spark):
         gate(checks, balances)
     verdict = gate(q.evaluate(spark.range(2), [q.row_count(1)]), balances)
     assert rows(verdict) == [(True, 3, 0)]
+
+
+def test_day_is_not_parsed_beneath_the_rollup(spark):
+    """The filter on valid days and the calendar are computed for store days, not for lines."""
+    sales = sales_of(spark, (20250101, 1, 1, 5), (20250199, 1, 1, 5))
+    stores = spark.createDataFrame([(1, "hyper", 10)], "store_key bigint, chain_format string, open_m2 int")
+    kpi = spark.createDataFrame(
+        [(20250101, 1, 2, 2, 3)],
+        "date_key bigint, store_key bigint, ticket_count int, transaction_count int, traffic_estimate int",
+    )
+    days = star.fact_store_day(sales, stores, kpi)
+    assert rows(days.select("date_key")) == [(20250101,)]
+    optimized = plan(days, "extended").split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
+    assert "make_date" in optimized
+    assert "make_date" not in optimized[optimized.index("Aggregate [") :]

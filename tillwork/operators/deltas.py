@@ -87,6 +87,12 @@ class DeltaTable:
     def read(self) -> DataFrame:
         return self.spark.table(self.name)
 
+    def refresh(self) -> None:
+        """Forget the files known so far; needed where another session, such as that of a stream's
+        micro-batches, has written."""
+        for part in (self.base, self.deltas):
+            self.spark.catalog.refreshTable(part)
+
     def compact(self) -> None:
         """Make the merged rows the base; the last base and its deltas are dropped once the view
         shows the new ones."""

@@ -78,9 +78,15 @@ def store_day_kpi(tickets: DataFrame, stores: DataFrame) -> DataFrame:
     )
 
 
-def store_day(sales: DataFrame) -> DataFrame:
-    """Article sales (any finer grain) to one row per day and store."""
-    return totals(sales, ["date_key", "store_key"], STORE_DAY_MEASURES)
+def store_day(sales: DataFrame, day: str | None = None) -> DataFrame:
+    """Article sales (any finer grain) to one row per day and store.
+
+    ``day`` names a copy of the key that is taken by the aggregate: filters on what is derived from
+    it stay above the rollup, where filters on the key itself would be tested on every line.
+    """
+    copy = [F.max("date_key").alias(day)] if day else []
+    sums = [F.sum(c).alias(c) for c in STORE_DAY_MEASURES]
+    return sales.groupBy("date_key", "store_key").agg(*sums, *copy)
 
 
 def period_actuals(store_days: DataFrame) -> DataFrame:

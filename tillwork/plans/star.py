@@ -95,20 +95,21 @@ def store_day_base(
     The fact is rolled up before it joins, so a hot store joins as one row a day.
     Tickets join first, on the keys the rollup is already partitioned by; stores
     join last, so a sort-merge join there leaves the partitioning by store that
-    the windows need.
+    the windows need. Days are read from their keys once for each store and day, above the rollup.
     """
-    days = rollups.store_day(up_to(sales, as_of))
+    days = rollups.store_day(up_to(sales, as_of), "_day")
     tickets = ["ticket_count", "transaction_count", "traffic_estimate"]
     days = joins.join_dimension(
         days, up_to(kpi, as_of), ["date_key", "store_key"], tickets, "left"
     )
     if calendar is None:
-        dated = days.withColumn("date_value", day_of_key("date_key"))
+        dated = days.withColumn("date_value", day_of_key("_day"))
         days = attach_calendar(
             dated.where(F.col("date_value").isNotNull()), "date_value", STORE_DAY_CALENDAR
         )
     else:
         days = joins.join_calendar(days, calendar, STORE_DAY_CALENDAR)
+    days = days.drop("_day")
     return joins.join_dimension(days, stores, "store_key", ["chain_format", "open_m2"])
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.quality import settled
@@ -26,6 +26,15 @@ def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -
     return table
 
 
+def replace_with_valid(df: DataFrame, condition: Column, table: str) -> dict[str, int]:
+    """The table becomes the rows that meet the condition; returns how many were ``kept`` and
+    ``dropped``, counted while they are written, without a pass of their own."""
+    seen, ok = Observation(), F.coalesce(condition, F.lit(False))
+    counted = df.observe(seen, F.count_if(ok).alias("kept"), F.count_if(~ok).alias("dropped"))
+    replace_table(counted.where(ok), table)
+    return seen.get
+
+
 def append_rows(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> str:
     """Adds the rows; a repeated load leaves copies for the key dedupe."""
     _writer(df, partition_by).mode("append").saveAsTable(table)

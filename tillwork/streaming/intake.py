@@ -83,17 +83,28 @@ def drain_to_upsert(
         present = [c for c in order if c in cleaned.columns]
         upsert_table(batch.sparkSession, cleaned, table, keys, order=versions or present, versions=versions)
 
-    return _drained(stream, take, checkpoint)
+    return _drained(stream, take, checkpoint, table)
 
 
-def _drained(stream: DataFrame, take: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+def _drained(
+    stream: DataFrame, take: Callable[[DataFrame, int], None], checkpoint: str, table: str, mode: str = "append"
+) -> StreamingQuery:
+    """Run ``take`` for everything that has arrived. Micro-batches write in a session of their own;
+    the caller's one is told to look at ``table`` anew."""
     query = (
-        stream.writeStream.foreachBatch(take)
+        stream.writeStream.outputMode(mode)
+        .foreachBatch(take)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
+    spark = stream.sparkSession
+    if table_exists(spark, table):
+        if spark.catalog.getTable(table).tableType == "VIEW":
+            DeltaTable(spark, table).refresh()
+        else:
+            spark.catalog.refreshTable(table)
     return query
 
 
@@ -123,7 +134,30 @@ def drain_to_deltas(
         if compact_after and number % compact_after == compact_after - 1:
             held.compact()
 
-    return _drained(stream, take, checkpoint)
+    return _drained(stream, take, checkpoint, table)
+
+
+def drain_rollup(
+    stream: DataFrame,
+    by: Sequence[str],
+    sums: Sequence[str],
+    table: str,
+    checkpoint: str,
+) -> StreamingQuery:
+    """Keep the sums of a stream's groups in a table that is merged when it is read.
+
+    The totals so far are the query's state, one row for each group; a micro-batch updates those
+    it touches, and writes these alone. A replayed micro-batch writes the same totals again.
+    """
+    totals = stream.groupBy(*by).agg(*(F.sum(c).alias(c) for c in sums))
+
+    def take(changed: DataFrame, _: int) -> None:
+        if table_exists(changed.sparkSession, table):
+            DeltaTable(changed.sparkSession, table).take(changed)
+        else:
+            DeltaTable.create(changed, table, by)
+
+    return _drained(totals, take, checkpoint, table, mode="update")
 
 
 def table_stream(spark: SparkSession, table: str, load: str) -> DataFrame:
