@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tillwork.functions.retail_calendar import date_key
 from tillwork.operators.clustering import zorder_table
 from tillwork.operators.deltas import DeltaTable
+from tillwork.operators.segments import balance_in_segments, closing_balances, continued
 from tillwork.plans import declared, entities, increments, layers
 from tillwork.session import fresh_dir
 from tillwork.sources import feeds, sinks
@@ -196,3 +197,37 @@ def _(spark, d):
     seen = sinks.replace_with_valid(r.table(spark, d, "orders"), condition, target)
     stored = spark.table(target).agg(F.count("*").alias("stored"))
     return stored.withColumns({c: F.lit(n) for c, n in seen.items()})
+
+
+LEDGER_SPEC = "date_key:i store_key:i product_key:i on_hand_qty:i"
+LEDGER_SQL = "SELECT date_key, store_key, product_key, on_hand_qty FROM inventory"
+
+
+def ledger_parts() -> dict:
+    return {
+        "entity": ["store_key", "product_key"],
+        "order": "date_key",
+        "flow": F.expr("received_qty - coalesce(sold_qty, 0) + adjusted_qty"),
+        "base": F.expr("(store_key * 7 + product_key * 3) % 31"),
+        "out": "on_hand_qty",
+        "segment": F.floor(F.col("date_key") / 100),
+    }
+
+
+@query("inventory_ledger_in_segments", LEDGER_SPEC, LEDGER_SQL)
+def _(spark, d):
+    """The stock ledger with months as segments, which are summed up apart."""
+    return balance_in_segments(r.flows(spark, d), **ledger_parts())
+
+
+@query("inventory_ledger_continued", LEDGER_SPEC, LEDGER_SQL)
+def _(spark, d):
+    """Days before 1996, and then the later ones from the stored closing balances alone."""
+    name, parts = own_schema(spark, "ledger"), ledger_parts()
+    flows = r.flows(spark, d)
+    first = f"{name}.ledger"
+    sinks.replace_table(balance_in_segments(flows.where("date_key < 19960101"), **parts), first)
+    closing = closing_balances(spark.table(first), parts["entity"], parts["order"], parts["out"])
+    sinks.replace_table(closing, f"{name}.state")
+    added, _ = continued(spark.table(f"{name}.state"), flows.where("date_key >= 19960101"), **parts)
+    return spark.table(first).unionByName(added)
