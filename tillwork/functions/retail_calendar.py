@@ -18,6 +18,7 @@ QUARTER_WEEKS = 13
 SAME_WEEKDAY_LAG = 364
 DAY_NAMES = ("Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun")
 
+# The published columns of the calendar.
 CALENDAR_COLUMNS = (
     "date_key",
     "date_value",

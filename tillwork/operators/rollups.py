@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import measures as m
 from ..functions.retail_calendar import date_key
 
+# Names of the published measures.
 LINE_MEASURES = {
     "unit_qty": "unit_qty",
     "gross_amount": "gross_sales",
