@@ -39,6 +39,7 @@ FACT_STORE_DAY = (
     "mtd_sales", "ytd_sales", "discount_rate", "avg_basket", "sales_m2",
     "net_sales_sss", "unit_qty_sss", "ticket_count_sss", "sss_variation_pct",
 )
+STORE_DAY_BASE = FACT_STORE_DAY[:FACT_STORE_DAY.index("mtd_sales")]
 MONTH_CLOSE = ("net_sales_mc", "mc_variation_pct")
 FACT_INVENTORY = (
     "date_key", "store_key", "product_key", "sku", "on_hand_qty", "on_hand_cost",
@@ -129,7 +130,15 @@ def fact_store_day(
     join of keys instead. Both see only days that survive ``as_of`` and the
     inner joins. ``month_close`` adds the same calendar date a year ago.
     """
-    df = store_day_base(sales, stores, kpi, calendar, as_of)
+    return with_store_day_measures(
+        store_day_base(sales, stores, kpi, calendar, as_of), month_close, self_join
+    )
+
+
+def with_store_day_measures(
+    df: DataFrame, month_close: bool = False, self_join: bool = False
+) -> DataFrame:
+    """The fact's columns from its base: running totals, ratios, values of a year ago."""
     if self_join:
         df = joins.year_ago_by_join(df, "store_key", "date_key", "date_key_sss", SSS_VALUES)
     else:
