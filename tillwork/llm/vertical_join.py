@@ -12,8 +12,11 @@ count is summed for each document, and later for each pair.
    n - ceil(0.8 n) + 1, of which those that occur once need no index.
 4. Pairs from that index are verified by the sum of their fragments' overlaps. For components it
    is enough to link each class with the centre of its index entries; pairs that would only link
-   what is linked already are not formed. Centres are tried until they add nothing, and then all
-   pairs of index entries whose classes lie in different components.
+   what is linked already are not formed. Centres are tried first, and then all pairs of index
+   entries whose classes lie in different components and whose overlap can still be large enough:
+   each fragment marks the bits of its n-grams in a map of ``MAP_BITS`` bits, and every bit that only
+   one of two maps has stands for an n-gram that only one of the sets has. For sets far larger than
+   the map this bound excludes less; it never excludes a link.
 
 Scale: a fragment holds about ``FRAGMENT`` n-grams, so their number grows with the corpus. An
 n-gram is sent to its fragment at most once for each slice of text, however many documents have
@@ -49,6 +52,8 @@ FRAGMENT = 2_000_000
 LEAST_FRAGMENTS = 64
 SLABS = 2  # near copies are few: their fragments are verified in so many groups
 LOW_BITS = 40
+MAP_LONGS = 16
+MAP_BITS = 64 * MAP_LONGS
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -274,6 +279,24 @@ def _in_reach(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _bit_maps(parts: DataFrame) -> DataFrame:
+    """``class`` and ``bits``: which of ``MAP_BITS`` bits its shared n-grams fall on, by fragment and
+    then for the class."""
+    place = F.pmod(F.xxhash64("gram"), F.lit(MAP_BITS)).cast("int")
+    marked = parts.select("class", F.explode("grams").alias("gram")).select(
+        "class",
+        F.floor(place / 64).cast("int").alias("slot"),
+        F.expr(f"shiftleft(1L, cast(pmod(xxhash64(gram), {MAP_BITS}) % 64 as int))").alias("bit"),
+    )
+    longs = [
+        F.coalesce(F.bit_or(F.when(F.col("slot") == k, F.col("bit"))), F.lit(0).cast("long")).alias(f"b{k}")
+        for k in range(MAP_LONGS)
+    ]
+    return marked.groupBy("class").agg(*longs).select(
+        "class", F.struct(*[f"b{k}" for k in range(MAP_LONGS)]).alias("bits")
+    )
+
+
 def _class_labels(index: DataFrame, parts: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """Components of classes, from links between index neighbours."""
     centres = index.groupBy("gram").agg(
@@ -296,19 +319,20 @@ def _class_labels(index: DataFrame, parts: DataFrame, sizes: DataFrame, percent:
     links = stored(links.union(_verified(more, parts, sizes, percent)), "star")
     labels = stored(components(links), "labels")
 
-    pairs = _ordered(_pairs_apart(index, labels, percent))
+    pairs = _ordered(_pairs_apart(index, labels, parts, percent))
     links = stored(links.union(_verified(pairs, parts, sizes, percent)), "star")
     return stored(components(links), "labels")
 
 
-def _pairs_apart(index: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+def _pairs_apart(index: DataFrame, labels: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     """Index neighbours in different components that can still link.
 
     In each gram's group, the members outside its largest component meet all members of other
     components; the largest one does not meet itself. Of two sets that link, the common part is
     at least percent / (100 + percent) of both sizes together. It is at most what either shares
     with anyone, and, seen from a common gram, the ranks up to it in one set and the rest behind it
-    in the other.
+    in the other. Nor is it more than half of what both share with others without the bits that
+    only one of their maps has.
     """
     named = stored(
         index.join(labels, F.col("class") == F.col("node"), "left").select(
@@ -324,16 +348,22 @@ def _pairs_apart(index: DataFrame, labels: DataFrame, percent: int) -> DataFrame
         .where("labels > 1")
         .select("gram", "top")
     )
-    mixed_groups = named.join(largest, "gram")
-    outside = mixed_groups.where("label <> top").select(
-        "gram", F.struct("class", "label", "rank", "shared", "n").alias("x")
-    )
-    inside = mixed_groups.select("gram", F.struct("class", "label", "rank", "shared", "n").alias("y"))
+    mixed_groups = stored(named.join(stored(largest, "largest"), "gram"), "mixed")
+    few = mixed_groups.select("class").distinct()
+    maps = stored(_bit_maps(parts.join(few, "class", "left_semi")), "maps")
+    mixed_groups = mixed_groups.join(maps, "class")
+    fields = F.struct("class", "label", "rank", "shared", "n", "bits")
+    outside = mixed_groups.where("label <> top").select("gram", fields.alias("x"))
+    inside = mixed_groups.select("gram", fields.alias("y"))
     x, y = F.col("x"), F.col("y")
+    lone = sum(
+        (F.bit_count(x["bits"][f"b{k}"].bitwiseXOR(y["bits"][f"b{k}"])) for k in range(MAP_LONGS)), F.lit(0)
+    )
     common = F.least(
         x["shared"],
         y["shared"],
         F.least(x["rank"], y["rank"]) + F.least(x["shared"] - x["rank"], y["shared"] - y["rank"]),
+        F.floor((x["shared"] + y["shared"] - lone) / 2),
     )
     possible = (
         (x["label"] != y["label"])
