@@ -148,6 +148,30 @@ def test_word_features_of_short_and_long_words():
     assert counts.tolist() == [2, 1 + 4 + 3, 1 + 2 + 1] and len(buckets) == counts.sum()
 
 
+def test_pairs_and_damped_counts_against_a_loop():
+    texts = ["a b a b a", "", "b", "a a a a", "c c b"]
+    counts, words, codes = subword_classifier.ascii_words(pa.array(texts))
+    sizes, pairs = subword_classifier.word_pairs(counts, words, codes)
+    assert sizes.tolist() == [4, 0, 0, 3, 2]
+    assert pairs[0] == pairs[2] != pairs[1] == pairs[3] and len(set(pairs[4:7].tolist())) == 1
+    owners, kinds, weights = subword_classifier.damped(counts, codes, len(words) + 1)
+    names = words.to_pylist()
+    got = {(o, names[k]): round(w**2) for o, k, w in zip(owners.tolist(), kinds.tolist(), weights)}
+    assert got == {(k, w): t.split().count(w) for k, t in enumerate(texts) for w in set(t.split())}
+
+
+def test_texts_of_one_repeated_word_are_found(spark, corpus):
+    """Each low text repeats a word of its own, which no other text has."""
+    rng = np.random.default_rng(3)
+    common = [f"word{k}" for k in range(400)]
+    good = [(k, " ".join(rng.choice(common, 120))) for k in range(150)]
+    bad = [(k, " ".join([f"own{k}x"] * 120)) for k in range(150, 300)]
+    labels = spark.createDataFrame([(k, int(k < 150)) for k in range(300)], "doc_id long, quality int")
+    docs = corpus(*good, *bad)
+    got = subword_classifier.scored(docs, subword_classifier.fit(docs, labels)).where("held_out").collect()
+    assert np.mean([r.predicted == (r.doc_id < 150) for r in got]) > 0.95
+
+
 def test_held_out_is_crc32(spark):
     import zlib
 

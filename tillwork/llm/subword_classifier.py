@@ -1,16 +1,18 @@
 """Quality classifier on supervised subword embeddings.
 
-Words, as written, and the character n-grams inside them are hashed into a table of learned
-vectors. Pairs of equal neighbouring words share one more vector, as a hash of the pair itself
-would say nothing about repetition in general. A document is the average of all its vectors, and a softmax over two classes sits on top.
+Words, as written, the character n-grams inside them and pairs of neighbouring words are hashed
+into a table of learned vectors, pairs into a part of their own. A document is the average of all
+its vectors, and a softmax over two classes sits on top. What occurs c times in a document counts
+as its root of c in that average, so that a text of few words said over and over does not look like
+one that says as much as it has words.
 The table and the weights are trained together by stochastic gradient descent in numpy, on at most
 ``MAX_TRAINING`` labelled documents, a bound that does not depend on the corpus: the labelled ids
 with the smallest hashes are taken. Features of the sample are made in Spark's tasks and have at
 most ``BUCKETS`` entries a document.
 
 Scoring covers all documents and is one pass without a shuffle. As average and weights are
-linear, a word adds the same amount to the logit wherever it stands; the model that tasks receive is
-that amount for each bucket, ``BUCKETS`` numbers. Each distinct word of a batch is looked at once.
+linear in these counts, a word adds a fixed amount times its root; the model that tasks receive is
+that amount for each bucket, and buckets that no training document has add nothing. Each distinct word of a batch is looked at once.
 
 Edge cases: a null or empty text has the score of the classes' bias. Repeated rows are scored one
 by one. Labels with null id or null quality are not used, of repeated ones the largest counts.
@@ -35,13 +37,14 @@ from tillwork.llm.encoding import starts_of, summed
 from tillwork.llm.words import ascii_words, filled, mixed, slices, word_hashes
 
 BUCKETS = 1 << 16
-REPEATED = BUCKETS  # the vector of a word that repeats the word before it
+PAIRS = 1 << 18  # buckets of word pairs, behind those of words and n-grams
 WIDTH = 16
 GRAMS = (3, 4)
 MAX_TRAINING = 3000
 EPOCHS = 5
-RATE = 0.5
-FEATURES = "quality int, buckets array<int>, counts array<int>"
+STEPS = 15_000
+RATE = 2.0
+FEATURES = "quality int, buckets array<int>, shares array<float>"
 
 
 @dataclass(frozen=True)
@@ -77,12 +80,25 @@ def word_features(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return counts, (found[order] % np.uint64(BUCKETS)).astype(np.int64)
 
 
-def repeats(counts: np.ndarray, codes: np.ndarray) -> np.ndarray:
-    """Words of each text that equal the word before them."""
-    same = np.zeros(len(codes), np.int64)
-    same[1:] = codes[1:] == codes[:-1]
-    same[starts_of(counts)[counts > 0]] = 0
-    return summed(same, counts)
+def word_pairs(counts: np.ndarray, words: pa.Array, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of neighbouring words in each text, and the buckets of all these pairs."""
+    hashes = word_hashes(words)[codes]
+    pairs = mixed(hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) + hashes[1:])
+    owner = np.repeat(np.arange(len(counts)), counts)
+    inside = owner[1:] == owner[:-1]
+    return np.maximum(counts - 1, 0), BUCKETS + (pairs[inside] % np.uint64(PAIRS)).astype(np.int64)
+
+
+def by_text(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums of the ``counts`` values of each text, each by itself: no text's rest enters another."""
+    return np.bincount(np.repeat(np.arange(len(counts)), counts), values, len(counts))
+
+
+def damped(counts: np.ndarray, codes: np.ndarray, kinds: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct codes of each text: their text, the code, and the root of how often it occurs."""
+    owner = np.repeat(np.arange(len(counts)), counts)
+    found, times = np.unique(owner * kinds + codes, return_counts=True)
+    return found // kinds, found % kinds, np.sqrt(times)
 
 
 def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,23 +106,29 @@ def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         for part in slices(batch):
             counts, words, codes = ascii_words(filled(part.column("text")))
             sizes, buckets = word_features(words)
-            starts, at = starts_of(sizes), np.concatenate([[0], np.cumsum(counts)])
-            again = repeats(counts, codes)
-            names, times = [], []
-            for row, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist())):
-                own = np.zeros(BUCKETS + 1, np.int32)
-                own[REPEATED] = again[row]
-                for code, count in zip(*np.unique(codes[a:b], return_counts=True)):
-                    np.add.at(own, buckets[starts[code] : starts[code] + sizes[code]], count)
+            starts = starts_of(sizes)
+            pair_counts, pairs = word_pairs(counts, words, codes)
+            total = np.maximum(summed(sizes[codes], counts) + pair_counts, 1)
+            texts, kinds, weights = damped(counts, codes, len(words) + 1)
+            pair_texts, pair_kinds, pair_weights = damped(pair_counts, pairs, BUCKETS + PAIRS)
+            at = np.searchsorted(texts, np.arange(len(counts) + 1))
+            pair_at = np.searchsorted(pair_texts, np.arange(len(counts) + 1))
+            names, shares = [], []
+            for row in range(len(counts)):
+                own = np.zeros(BUCKETS + PAIRS, np.float32)
+                mine = slice(pair_at[row], pair_at[row + 1])
+                own[pair_kinds[mine]] = pair_weights[mine]
+                for code, weight in zip(kinds[at[row] : at[row + 1]], weights[at[row] : at[row + 1]]):
+                    np.add.at(own, buckets[starts[code] : starts[code] + sizes[code]], weight)
                 names.append(np.flatnonzero(own).astype(np.int32))
-                times.append(own[names[-1]])
+                shares.append(own[names[-1]] / np.float32(total[row]))
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("quality").cast(pa.int32()),
                     pa.array(names, pa.list_(pa.int32())),
-                    pa.array(times, pa.list_(pa.int32())),
+                    pa.array(shares, pa.list_(pa.float32())),
                 ],
-                names=["quality", "buckets", "counts"],
+                names=["quality", "buckets", "shares"],
             )
 
 
@@ -137,22 +159,28 @@ def sample(docs: DataFrame, labels: DataFrame, bound: int = MAX_TRAINING) -> Dat
     return texts.mapInArrow(_sample_features, FEATURES)
 
 
-def trained(features: pa.Table, epochs: int = EPOCHS, rate: float = RATE, seed: int = 5) -> Model:
+def trained(
+    features: pa.Table,
+    epochs: int = EPOCHS,
+    rate: float = RATE,
+    seed: int = 5,
+    least_steps: int = STEPS,
+) -> Model:
     """Stochastic gradient descent over single documents, with a rate that falls to zero."""
     rng = np.random.default_rng(seed)
-    table = rng.uniform(-1 / WIDTH, 1 / WIDTH, (BUCKETS + 1, WIDTH)).astype(np.float32)
+    table = rng.uniform(-1 / WIDTH, 1 / WIDTH, (BUCKETS + PAIRS, WIDTH)).astype(np.float32)
     weights, bias = np.zeros((WIDTH, 2), np.float32), np.zeros(2, np.float32)
     docs = []
-    for quality, buckets, counts in zip(
-        features.column("quality").to_pylist(), features.column("buckets"), features.column("counts")
+    for quality, buckets, shares in zip(
+        features.column("quality").to_pylist(), features.column("buckets"), features.column("shares")
     ):
         names = buckets.values.to_numpy()
         if len(names):
-            share = counts.values.to_numpy().astype(np.float32)
-            docs.append((int(quality > 0), names, share / share.sum()))
+            docs.append((int(quality > 0), names, shares.values.to_numpy()))
     docs.sort(key=lambda d: (len(d[1]), int(d[1].sum()), d[0]))
+    epochs = max(epochs, -(-least_steps // max(len(docs), 1)))
     steps, done = epochs * len(docs), 0
-    for _ in range(epochs):
+    for _ in range(epochs if docs else 0):
         for k in rng.permutation(len(docs)):
             label, names, share = docs[k]
             hidden = share @ table[names]
@@ -163,11 +191,14 @@ def trained(features: pa.Table, epochs: int = EPOCHS, rate: float = RATE, seed:
             step = rate * (1 - done / steps)
             back = weights @ error
             weights -= step * np.outer(hidden, error)
-            bias -= 0.1 * step * error
+            bias -= step * error
             table[names] -= step * share[:, None] * back
             done += 1
     toward = weights[:, 1] - weights[:, 0]
-    return Model(table @ toward, float(bias[1] - bias[0]))
+    seen = np.zeros(len(table), bool)
+    for _, names, _ in docs:
+        seen[names] = True
+    return Model(np.where(seen, table @ toward, np.float32(0)), float(bias[1] - bias[0]))
 
 
 def _scorer(model: Model):
@@ -176,11 +207,13 @@ def _scorer(model: Model):
             for part in slices(batch):
                 counts, words, codes = ascii_words(filled(part.column("text")))
                 sizes, buckets = word_features(words)
-                amounts = summed(model.bucket_logits[buckets].astype(np.float64), sizes)
-                total = summed(amounts[codes], counts)
-                again = repeats(counts, codes)
-                total += again * float(model.bucket_logits[REPEATED])
-                features = summed(sizes[codes], counts) + again
+                pair_counts, pairs = word_pairs(counts, words, codes)
+                amounts = by_text(model.bucket_logits[buckets].astype(np.float64), sizes)
+                texts, kinds, weights = damped(counts, codes, len(words) + 1)
+                total = np.bincount(texts, amounts[kinds] * weights, len(counts))
+                texts, kinds, weights = damped(pair_counts, pairs, BUCKETS + PAIRS)
+                total += np.bincount(texts, model.bucket_logits[kinds] * weights, len(counts))
+                features = summed(sizes[codes], counts) + pair_counts
                 logits = np.clip(model.bias + total / np.maximum(features, 1), -500, 500)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(1 / (1 + np.exp(-logits)))],
