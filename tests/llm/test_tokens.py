@@ -42,8 +42,29 @@ def test_elias_fano_round_trip(gaps, zeros):
     values = np.cumsum([0] * zeros + gaps + [0]).astype(np.int64)
     data = memoryview(id_files.EliasFano.of(values).to_bytes())
     read, taken = id_files.EliasFano.read(data)
-    assert taken == len(data) and read.values().tolist() == values.tolist()
-    assert [read.select(i) for i in range(len(values))] == values.tolist()
+    assert taken == len(data) and read.select(0, len(values)).tolist() == values.tolist()
+    assert [int(read.select(i)[0]) for i in range(len(values))] == values.tolist()
+    assert read.select(len(values) // 3, len(values)).tolist() == values[len(values) // 3 :].tolist()
+
+
+def test_select_over_huge_gaps_reads_few_bits():
+    """One gap among very many small ones: its sample keeps its places."""
+    values = np.cumsum(np.where(np.arange(50_000) == 30_000, 10_000_000, 1)).astype(np.int64)
+    held = id_files.EliasFano.of(values)
+    assert len(held.wide) == 1 and held.wide[0] == 29_999 // id_files.SAMPLE
+    spots = [0, 29_998, 29_999, 30_000, 30_001, 30_080, 49_999]
+    assert [int(held.select(i)[0]) for i in spots] == values[spots].tolist()
+    with pytest.raises(IndexError):
+        held.select(50_000)
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.integers(-(2**63), 2**63 - 1), max_size=200), st.integers(0, 3))
+def test_document_ids_round_trip(ids, nulls):
+    want = [None] * nulls + sorted(ids)
+    names = id_files.unpack_names(id_files.pack_names(pa.array(want, pa.int64())))
+    assert names(0, len(want)).to_pylist() == want
+    assert [names(k, k + 1).to_pylist()[0] for k in range(len(want))] == want
 
 
 def test_elias_fano_is_small():
