@@ -6,10 +6,11 @@ found. ``scan`` looks up which (blob, rule version) pairs the ledger lacks, read
 texts, appends their findings, and joins the ledger back to all paths. A second run over the same
 texts scans nothing; a new version of one rule scans every blob for that rule only.
 
-Scale: equal texts meet as one blob after map-side combining, so a text that makes up a third of
-all rows is one row per task before the shuffle and is scanned once. The join back to the paths
-moves digests and findings, no text; the ledger side has a row per blob, so Spark can split a
-hot blob on the other side.
+Scale: the ledger is asked with digests alone. Pending texts meet as one blob after map-side
+combining, so a text that makes up a third of all rows is one row per task before the shuffle and
+is scanned once; with at most ``FEW`` pending blobs, as in a run over mostly known texts, no other
+text moves. The join back to the paths moves digests and findings, no text; findings are stored
+before it, one row for each blob that has any, so that Spark can split a hot blob on the other side.
 
 Edge cases: a null text is the empty text. Repeated rows and repeated paths each get their own
 result. A null path is a path. Texts of any length are scanned whole. Extra columns and clashing
@@ -30,8 +31,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillwork.llm.components import stored
 from tillwork.llm.words import filled, slices
 
+FEW = 100_000  # digests that are sent to every task: about 10 MB
 LEDGER = "blob string, rules array<string>, findings array<struct<kind:string,start:long,end:long>>"
 
 
@@ -121,18 +124,27 @@ def _ledger(spark: SparkSession, path: str) -> DataFrame:
 
 
 def unseen(blobs: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``blob``, ``text`` and the names of the rule versions that the ledger lacks for it."""
+    """Each ``blob`` of ``blobs`` with the names of the rule versions that the ledger lacks for it."""
     wanted = F.array(*(F.lit(r.name) for r in rules))
     seen = ledger.groupBy("blob").agg(F.flatten(F.collect_set("rules")).alias("seen"))
     missing = F.array_except(wanted, F.coalesce("seen", F.array().cast("array<string>")))
-    distinct = blobs.select("blob", "text").dropDuplicates(["blob"])
     return (
-        distinct.join(seen, "blob", "left")
-        .select("blob", "text", missing.alias("rules"))
+        blobs.select("blob")
+        .distinct()
+        .join(seen, "blob", "left")
+        .select("blob", missing.alias("rules"))
         .where(F.size("rules") > 0)
     )
 
 
+def _texts(blobs: DataFrame, pending: DataFrame) -> DataFrame:
+    """``blob``, ``text`` and ``rules`` of the pending blobs, each once. Few pending blobs are looked up
+    where the texts are read, so that only their texts move."""
+    if pending.count() <= FEW:
+        blobs = blobs.join(F.broadcast(pending.select("blob")), "blob", "left_semi")
+    return blobs.dropDuplicates(["blob"]).join(pending, "blob").select("blob", "text", "rules")
+
+
 def scan(
     versions: DataFrame,
     ledger_path: str,
@@ -148,11 +160,11 @@ def scan(
     """
     spark = versions.sparkSession
     content = F.coalesce(versions[text], F.lit(""))
-    blobs = versions.select(
-        versions[path], F.sha2(content.cast("binary"), 256).alias("blob"), content.alias("text")
-    )
-    pending = unseen(blobs, _ledger(spark, ledger_path), rules)
-    pending.mapInArrow(_scanner(rules), LEDGER).write.mode("append").parquet(ledger_path)
+    blob = F.sha2(content.cast("binary"), 256).alias("blob")
+    paths = stored(versions.select(versions[path], blob), "paths")
+    pending = stored(unseen(paths, _ledger(spark, ledger_path), rules), "pending")
+    texts = _texts(versions.select(blob, content.alias("text")), pending)
+    texts.mapInArrow(_scanner(rules), LEDGER).write.mode("append").parquet(ledger_path)
 
     kinds = F.array(*(F.lit(r.kind) for r in rules))
     wanted = F.array(*(F.lit(r.name) for r in rules))
@@ -176,10 +188,10 @@ def scan(
         .agg(current.alias("found"))
         .select("blob", ordered.alias("findings"))
     )
+    findings = stored(findings, "findings")
     none = F.array().cast("array<struct<kind:string,start:bigint,end:bigint>>")
     return (
-        blobs.select(path, "blob")
-        .join(findings, "blob", "left")
+        paths.join(findings, "blob", "left")
         .select(path, "blob", F.coalesce("findings", none).alias("findings"))
     )
 
