@@ -1,5 +1,6 @@
 """Line and document dedup, decontamination and the pipeline against loops on small tables."""
 
+import os
 import random
 import re
 
@@ -7,7 +8,9 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tillwork.llm import line_hashing, positional_index, template_tree, vertical_join
+from tillwork.llm import components as components_module
 from tillwork.llm.components import components
+from tillwork.session import shared_root
 
 WORDS = [f"w{k}" for k in range(400)]
 
@@ -67,6 +70,14 @@ def test_join_against_all_pairs(corpus):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(k for k in label if label[k] == k)
 
 
+def test_links_do_not_depend_on_the_number_of_fragment_groups(corpus, monkeypatch):
+    rows = near_copies(5, 2)
+    _, label = reached(rows)
+    monkeypatch.setattr(vertical_join, "SLAB", 8)
+    got = vertical_join.join(corpus(*rows)).collect()
+    assert {r.key.doc_id: r.component_id for r in got} == label
+
+
 def test_join_of_one_large_group_stays_linear(corpus):
     rng = random.Random(9)
     base = rng.choices(WORDS, k=120)
@@ -84,12 +95,17 @@ def test_join_edges(corpus):
     ]
 
 
-def test_components_of_chains_and_stars(spark):
+def test_components_of_chains_and_stars(spark, monkeypatch):
     chain = [(k, k + 1) for k in range(40)]
     star = [(100, 100 + k) for k in range(1, 30)] + [(103, 103), (None, 5)]
     links = spark.createDataFrame([*chain, *star, (7, 6)], "a long, b long")
     got = {r.node: r.label for r in components(links).collect()}
     assert got == {**{k: 0 for k in range(41)}, **{100 + k: 100 for k in range(30)}}
+    monkeypatch.setattr(components_module, "MANY", 0)
+    before = set(os.listdir(shared_root(spark)))
+    assert {r.node: r.label for r in components(links).collect()} == got
+    kept = set(os.listdir(shared_root(spark))) - before
+    assert len(kept) == 1 and kept.pop().startswith("links-")
     assert components(links.where("false")).count() == 0
 
 
@@ -229,6 +245,47 @@ def test_lines_that_share_their_path_alone_stay(corpus):
     assert got == {0: 0, 1: 0, 2: 0, 10: 0, 11: 1, 12: 1}
 
 
+def template_lines_kept(docs, min_docs=3):
+    """Lines that stay when only equal lines recur: the first of each that ``min_docs`` documents have."""
+    holders, out = {}, {}
+    for name, text in docs:
+        for line in (text or "").split("\n"):
+            if line.split():
+                holders.setdefault(tuple(line.split()), []).append(name)
+    first = {k: min(v) for k, v in holders.items() if len(set(v)) >= min_docs}
+    for name, text in docs:
+        kept, seen = [], set()
+        for line in (text or "").split("\n"):
+            tokens = tuple(line.split())
+            if tokens in first and (first[tokens] != name or tokens in seen):
+                continue
+            seen.add(tokens)
+            kept.append(line)
+        out[name] = "\n".join(kept)
+    return out
+
+
+def test_lines_that_recur_against_a_loop(corpus):
+    """Lines of one leaf each: what recurs goes, but for its first occurrence."""
+    rng = random.Random(12)
+    spelt = str.maketrans("0123456789", "abcdefghij")  # tokens with digits are fields
+    pool = [" ".join([f"head{k}", *(f"tail{k}y{j}" for j in range(4 + k % 3))]) for k in range(30)]
+    docs = [(k, "\n".join(rng.choices(pool, k=3) + [f"own{k} line{k} of{k} doc{k} here{k}"])) for k in range(60)]
+    docs = [(k, t.translate(spelt)) for k, t in docs]
+    docs += [(90, ""), (92, "own line that nobody else has at all " * 2000)]
+    got = {r.doc_id: r.text for r in template_tree.replace_text(clashing(corpus, *docs)).collect()}
+    assert got == template_lines_kept(docs)
+
+
+def test_template_edges(corpus):
+    """Repeated rows, null ids, null texts and long texts have a result each."""
+    docs = [(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (None, None), (2, "x " * 100_000)]
+    got = template_tree.replace_text(clashing(corpus, *docs))
+    assert got.count() == 5 and got.columns == clashing(corpus, *docs).columns
+    assert {r.doc_id: len(r.text or "") for r in got.where("doc_id = 2").collect()} == {2: 200_000}
+    assert template_tree.replace_text(corpus((1, "a")).where("false")).count() == 0
+
+
 def test_repeated_lines_keep_the_earliest(corpus):
     long_line = " ".join(f"Word{k}," for k in range(30))
     docs = [

@@ -18,7 +18,9 @@ count is summed for each document, and later for each pair.
    one of two maps has stands for an n-gram that only one of the sets has. For sets far larger than
    the map this bound excludes less; it never excludes a link.
 
-Scale: a fragment holds about ``FRAGMENT`` n-grams, so their number grows with the corpus. An
+Scale: a fragment holds about ``FRAGMENT`` n-grams, so their number grows with the corpus; near copies
+are verified in groups of fragments, whose number follows the longest set. What is grouped by n-gram is
+stored before it meets the entries again, so that Spark splits a hot n-gram. An
 n-gram is sent to its fragment at most once for each slice of text, however many documents have
 it: those that several documents of a slice share are known to be shared there and go on without
 their fragment. A class that copies make frequent is sent once by each task. Nothing but totals
@@ -50,7 +52,7 @@ from tillwork.llm.words import ascii_words, filled, mixed, slices, word_hashes
 
 FRAGMENT = 2_000_000
 LEAST_FRAGMENTS = 64
-SLABS = 2  # near copies are few: their fragments are verified in so many groups
+LEAST_SLABS, SLAB = 4, 32_768  # fragments are verified in groups; n-grams of a set in one, on average
 LOW_BITS = 40
 MAP_LONGS = 16
 MAP_BITS = 64 * MAP_LONGS
@@ -299,13 +301,15 @@ def _bit_maps(parts: DataFrame) -> DataFrame:
 
 def _class_labels(index: DataFrame, parts: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """Components of classes, from links between index neighbours."""
-    centres = index.groupBy("gram").agg(
-        F.max(F.struct("weight", "class")).alias("top"), F.count("*").alias("classes")
+    centres = stored(
+        index.groupBy("gram")
+        .agg(F.max(F.struct("weight", "class")).alias("top"), F.count("*").alias("classes"))
+        .where("classes > 1")
+        .select("gram", F.col("top.class").alias("centre")),
+        "centres",
     )
     spokes = stored(
-        index.join(
-            centres.where("classes > 1").select("gram", F.col("top.class").alias("centre")), "gram"
-        )
+        index.join(centres, "gram")
         .where(F.col("class") != F.col("centre"))
         .groupBy(F.col("class").alias("a"), F.col("centre").alias("b"))
         .agg(F.count("*").alias("votes")),
@@ -411,9 +415,11 @@ def join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
         .select("class", "n"),
         "sizes",
     )
+    longest = sizes.agg(F.max("n")).first()[0] or 0
+    slabs = min(fragments, max(LEAST_SLABS, -(-longest // SLAB)))
     parts = stored(
         shared.join(sizes, "class")
-        .select("class", (F.col("fragment") % SLABS).alias("fragment"), F.explode("grams").alias("gram"))
+        .select("class", (F.col("fragment") % slabs).alias("fragment"), F.explode("grams").alias("gram"))
         .groupBy("class", "fragment")
         .agg(F.collect_set("gram").alias("grams")),
         "parts",
@@ -424,7 +430,8 @@ def join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
         classes.join(labels, F.col("class") == F.col("node"), "left")
         .select("class", "check", "class_id", F.coalesce("label", "class").alias("label"))
     )
-    least = named.groupBy("label").agg(F.min("class_id").alias("component_id"))
+    named = stored(named, "named")
+    least = stored(named.groupBy("label").agg(F.min("class_id").alias("component_id")), "least")
     named = named.join(least, "label").select("class", "check", "class_id", "component_id")
     own = F.col("key.doc_id")
     return sets.join(named, ["class", "check"], "left").select(
@@ -461,7 +468,7 @@ def _index(parts: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     share of their n-grams that others have too, which is all of them for the text that others
     were copied from, and then by how frequent these are."""
     single = parts.select("class", F.explode("grams").alias("gram"))
-    often = single.groupBy("gram").agg(F.count("*").alias("classes")).where("classes > 1")
+    often = stored(single.groupBy("gram").agg(F.count("*").alias("classes")).where("classes > 1"), "often")
     by_class = Window.partitionBy("class")
     ranked = (
         single.join(often, "gram")
