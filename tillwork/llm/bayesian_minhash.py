@@ -348,9 +348,11 @@ def near_duplicates(
     pivots = 1
     while not members.isEmpty():
         pairs = stored(_candidates(members, tested, pivots, percent), "pairs")
-        links = stored(links.unionByName(_verified(pairs, chosen, parts, percent, miss)), "links")
+        found = stored(_verified(pairs, chosen, parts, percent, miss), "found")
         tested = stored(tested.unionByName(pairs.select("a", "b")), "tested")
-        labels = stored(components(links), "labels")
+        if not found.isEmpty():
+            links = stored(links.unionByName(found), "links")
+            labels = stored(components(links), "labels")
         members = _unfinished(members, labels, pivots, percent)
         pivots *= 4
     named = classes.join(labels, F.col("class") == F.col("node"), "left").select(
