@@ -238,8 +238,9 @@ def _(spark, d):
 def _(spark, d):
     """The fact from stored store days, which lie in buckets of stores."""
     table = f"{own_schema(spark, 'buckets')}.store_days"
-    base = star.store_day_base(r.sales_lines(spark, d), r.stores(spark, d), r.sold_tickets(spark, d))
-    store_days.write_store_days(base, table, buckets=4)
+    sales = r.sales_lines(spark, d)
+    base = star.store_day_base(sales, r.stores(spark, d), r.sold_tickets(spark, d))
+    store_days.write_store_days(base, table, buckets=store_days.buckets_for(sales))
     return store_days.fact_of_stored(spark.table(table), month_close=True)
 
 

@@ -152,3 +152,18 @@ def test_a_table_without_buckets_is_refused(spark, schema, sides):
     star.fact_store_day(sales_of(spark, [(20230110, 1, 5)]), *sides).write.saveAsTable(f"{schema}.flat")
     with pytest.raises(ValueError, match="not bucketed"):
         store_days.buckets_of(spark, f"{schema}.flat")
+
+
+def test_buckets_follow_the_store_days(spark, schema, sides, monkeypatch):
+    monkeypatch.setattr(store_days, "ROWS_PER_BUCKET", 100)
+    known = dict.fromkeys(every(1, dt.date(2023, 1, 1), dt.date(2023, 9, 30)), 5)
+    twice = sales_of(spark, listed(known) * 2)
+    buckets = store_days.buckets_for(twice)
+    assert 7 <= buckets <= 9  # 816 store days, estimated
+    assert store_days.buckets_for(twice.where("date_key = 20230101")) == store_days.LEAST_BUCKETS
+    assert store_days.buckets_for(twice.where("false")) == store_days.LEAST_BUCKETS
+    table = store_days.write_store_days(star.store_day_base(twice, *sides), f"{schema}.sized", buckets=buckets)
+    assert store_days.buckets_of(spark, table) == buckets
+    assert rows(store_days.fact_of_stored(spark.table(table)), "date_key", "store_key") == rows(
+        star.fact_store_day(twice, *sides), "date_key", "store_key"
+    )

@@ -29,14 +29,29 @@ YEAR, PERIOD = "commerce_year", "commerce_period"
 BUCKETS = 16
 # A date a year earlier may lie two commerce years back: 2024-12-30 is in 2025, 2023-12-30 in 2023.
 YEARS_BACK = 2
+# A task reads a whole bucket and sorts it for several windows, at about 1.2 KB a store day.
+ROWS_PER_BUCKET = 500_000
+LEAST_BUCKETS = 4
+
+
+def buckets_for(sales: DataFrame) -> int:
+    """Buckets for the store days of ``sales``, of about ``ROWS_PER_BUCKET`` each, so that a task
+    stays as large as it is however many stores there are.
+
+    The store days are estimated within 5 % by one pass over the two key columns, without a
+    shuffle. A stored table keeps its buckets; one that has grown many times is written anew.
+    """
+    store_days = F.approx_count_distinct(F.xxhash64(DAY, STORE)).alias("n")
+    rows = sales.agg(store_days).first()["n"]
+    return max(LEAST_BUCKETS, -(-rows // ROWS_PER_BUCKET))
 
 
 def write_store_days(df: DataFrame, table: str, buckets: int = BUCKETS) -> str:
     """The table becomes the rows of a store-day fact or of its base, bucketed by store.
 
     A store has one row a day, so that no bucket is hot; rows are dealt as the buckets are, which
-    gives each period one file a bucket. ``buckets`` should follow the number of stores: a file of
-    a few megabytes for each period and bucket is enough.
+    gives each period one file a bucket. ``buckets`` should follow the number of store days, see
+    ``buckets_for``.
     """
     writer = _dealt(df, buckets).write.format("parquet").mode("overwrite")
     # Kept with the table, so that later writes replace single partitions in any session.
