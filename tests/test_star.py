@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tillwork.operators import quality as q
 from tillwork.operators.calendar import commerce_calendar
 from tillwork.plans import declared, star
+from tillwork.sources import sinks
 
 D = dt.date
 
@@ -157,3 +158,19 @@ def test_day_is_not_parsed_beneath_the_rollup(spark):
     optimized = plan(days, "extended").split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
     assert "make_date" in optimized
     assert "make_date" not in optimized[optimized.index("Aggregate [") :]
+
+
+def test_declared_days_move_to_their_stores_once(spark, schema):
+    """The calendar's attributes do not travel, and stored tables are compressed with zstd."""
+    sales = sales_of(spark, (20250101, 1, 1, 5), (20250102, 1, 2, 7), (20250102, None, 1, 9), (20300101, 2, 1, 4))
+    table = sinks.append_rows(sales, f"{schema}.sold")
+    assert all(".zstd." in f for f in spark.table(table).inputFiles())
+    days = declared.store_day(spark.table(table), commerce_calendar(spark, D(2025, 1, 1), D(2025, 1, 31)))
+    physical = plan(days)
+    moved = physical[: physical.index("hashpartitioning(date_key")]
+    assert moved.count("hashpartitioning(") == 1 and "hashpartitioning(store_key" in moved
+    assert moved.index("Join") < moved.index("hashpartitioning(store_key")
+    got = rows(days.select("date_key", "store_key", "mtd_sales", "ytd_sales", "commerce_year"))
+    assert got == [
+        (20250101, 1, 5, 5, 2025), (20250102, None, 9, 9, 2025), (20250102, 1, 7 + 5, 12, 2025), (20300101, 2, 4, 4, None),
+    ]

@@ -39,9 +39,10 @@ def gated_sales(raw: DataFrame) -> DataFrame:
 def store_day(sales: DataFrame, calendar: DataFrame) -> DataFrame:
     """Net sales and units per day and store with running totals.
 
-    Days outside the calendar stay, with NULL calendar attributes.
+    Days outside the calendar stay, with NULL calendar attributes. Days move to their stores before
+    they get these, which the running totals then find there.
     """
-    days = totals(sales, ["date_key", "store_key"], ["net_sales", "unit_qty"])
+    days = totals(sales, ["date_key", "store_key"], ["net_sales", "unit_qty"]).repartition("store_key")
     dated = join_calendar(
         days, calendar, ["commerce_period", "commerce_year", "date_key_sss"], how="left"
     )

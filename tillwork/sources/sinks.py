@@ -12,6 +12,10 @@ from ..operators.upsert import new_version, overwrite_partitions, partition_colu
 from ..session import fresh_dir, remove
 
 
+# Stored tables are written once and read by later steps: zstd moves about a third less than snappy.
+STORED = {"compression": "zstd"}
+
+
 def create_schema(spark: SparkSession, name: str, location: str | None = None) -> str:
     where = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}{where}")
@@ -45,7 +49,7 @@ def _writer(df: DataFrame, partition_by: Sequence[str]):
     if partition_by:
         # One place per partition value, split again where a value is oversized.
         df = df.hint("rebalance", *partition_by)
-    writer = df.write.format("parquet")
+    writer = df.write.format("parquet").options(**STORED)
     return writer.partitionBy(*partition_by) if partition_by else writer
 
 

@@ -12,6 +12,7 @@ from ..operators.deltas import DeltaTable
 from ..operators.upsert import table_exists, upsert_table
 from ..sources.feeds import Feed
 from ..sources.raw import READER_OPTIONS, source_path, with_lineage
+from ..sources.sinks import STORED
 
 
 def file_stream(
@@ -53,6 +54,7 @@ def drain_to_table(stream: DataFrame, table: str, checkpoint: str) -> StreamingQ
         stream.drop("_arrived")
         .writeStream.outputMode("append")
         .format("parquet")
+        .options(**STORED)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .toTable(table)
