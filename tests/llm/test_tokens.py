@@ -119,3 +119,32 @@ def test_hilbert_curve_visits_every_cell_by_neighbours():
     assert sorted(keys.tolist()) == list(range(512))
     path = cells[np.argsort(keys)]
     assert (np.abs(np.diff(path, axis=0)).sum(axis=1) == 1).all()
+
+
+def test_a_task_tokenizes_bounded_text(monkeypatch):
+    """A batch is cut into parts of TOKENIZED_BYTES before its words are; pieces do not depend on it."""
+
+    class Context:
+        get = staticmethod(lambda: Context)
+        partitionId = staticmethod(lambda: 3)
+
+    seen = []
+    encode = Encoder.encode
+
+    def counted(self, texts, pieces=None):
+        seen.append(texts.nbytes)
+        return encode(self, texts, pieces)
+
+    monkeypatch.setattr(Encoder, "encode", counted)
+    monkeypatch.setattr(curve_packing, "TaskContext", Context)
+    texts = [f"word{i % 50} and more " * 2_000 for i in range(200)] + [None, ""]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(len(texts))), "text": pa.array(texts)})
+
+    def tokens():
+        made = list(curve_packing._tokenized(WORDS, 2, False, True)(iter([batch])))
+        return pa.Table.from_batches(made).to_pylist()
+
+    cut = tokens()
+    assert batch.nbytes > 6_000_000 and max(seen) < 3_200_000
+    monkeypatch.setattr(curve_packing, "TOKENIZED_BYTES", 1 << 40)
+    assert cut == tokens() and [r["row"] for r in cut] == [(3 << 33) + i for i in range(len(texts))]

@@ -37,6 +37,8 @@ DIMENSIONS = 3
 BITS = 10
 BUCKETS = 256
 SPREAD = 8.0
+# Text that a task tokenizes at once; its arrays take over twenty times as much memory.
+TOKENIZED_BYTES = 3_000_000
 
 TOKENS = "row long, doc_id long, curve long, n_tokens long, ids binary"
 PIECES = (
@@ -102,7 +104,7 @@ def _tokenized(tokenizer: str, end_id: int, spaced: bool, folded: bool):
         width = 2 if coder.tokenizer.get_vocab_size() <= 1 << 16 else 4
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=TOKENIZED_BYTES):
                 texts = part.column("text")
                 pieces = coder.split(texts)
                 keys = curve_keys(pieces.counts, mixed(word_hashes(pieces.words)), pieces.codes)
@@ -125,6 +127,8 @@ def _tokenized(tokenizer: str, end_id: int, spaced: bool, folded: bool):
                     names=["row", "doc_id", "curve", "n_tokens", "ids"],
                 )
                 row += part.num_rows
+                # What Arrow keeps for later would stay with the worker beside the next stage's.
+                pa.default_memory_pool().release_unused()
 
     return rows
 
