@@ -69,6 +69,29 @@ def test_one_group_of_many_near_copies(clashing):
     assert found(clashing(rows)) == expected(rows)
 
 
+def test_near_copies_that_do_not_link_are_not_compared_in_pairs(corpus, monkeypatch):
+    """Copies at 0.7 of a text share buckets with each other and nearly all their shingles with some
+    other; their maps tell that they cannot link."""
+    rng, counted, kept = random.Random(7), [], bayesian_minhash.stored
+
+    def stored(df, label):
+        out = kept(df, label)
+        if label == "pairs":
+            counted.append(out.count())
+        return out
+
+    monkeypatch.setattr(bayesian_minhash, "stored", stored)
+    base = [f"b{k}" for k in range(150)]
+    rows = [(0, " ".join(base))]
+    for k in range(1, 61):
+        changed = set(rng.sample(range(5, 145, 5), 6))
+        rows.append((k, " ".join(f"c{i}" if i in changed else w for i, w in enumerate(base))))
+    rows.append((61, " ".join(base[:-1])))
+    assert found(corpus(*rows)) == expected(rows)
+    # The first round compares a pivot of each bucket with the others.
+    assert sum(counted[1:]) <= len(rows), counted
+
+
 def test_long_sets_in_fragments(clashing):
     rng = random.Random(3)
     base = [str(rng.random()) for _ in range(36_000)]

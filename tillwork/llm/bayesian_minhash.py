@@ -7,7 +7,10 @@
    that are connected already do not meet, a pivot that has met all is done, and a bucket whose
    members are connected is done, so that a group of near copies costs its size. Nor do members
    meet that cannot link: their common part is at most what either shares with any candidate,
-   which is counted beforehand.
+   which is counted beforehand. Members that the first round leaves are compared more closely: what
+   they share with others that are left is counted anew and marked in a map of ``MAP_BITS`` bits, and
+   every bit that only one of two maps has stands for a shingle that only one of the sets has. For
+   sets far larger than the map this excludes less; it never excludes a link.
 3. A candidate pair's signatures are compared batch by batch. With m of n values equal and a uniform
    prior, the similarity reaches the threshold with the probability that at most m of n + 1 trials
    succeed; pairs for which that falls below ``MISS`` go.
@@ -48,6 +51,8 @@ COMPARED, BATCH = 256, 32  # signature values kept for the comparison, and compa
 MISS = 1e-6
 BLOCK = 65_536  # shingles hashed at once
 FRAGMENT = 32_768  # shingles of a set that are verified in one row
+MAP_LONGS = 16
+MAP_BITS = 64 * MAP_LONGS
 
 SIGNED = (
     "key struct<doc_id:long,text:long>, n_shingles long, class long, check long, "
@@ -245,6 +250,15 @@ def _weighed(members: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     """Members with ``shared``, how many of a class' shingles other candidates have, and ``weight``,
     the number of its buckets: it is largest for the text that others were made from. Members that
     can link with none of their bucket go."""
+    shared = _shared(parts).groupBy("class").agg(F.count("*").alias("shared"))
+    weights = members.groupBy("class").agg(F.count("*").alias("weight"))
+    counted = stored(weights.join(shared, "class"), "counted")
+    named = stored(members.join(counted, "class"), "weighed")
+    return _live(named, percent)
+
+
+def _shared(parts: DataFrame) -> DataFrame:
+    """(gram, class) for shingles that several classes of ``parts`` have."""
     single = parts.select("class", F.explode("grams").alias("gram"))
     often = stored(
         single.groupBy("gram")
@@ -253,11 +267,33 @@ def _weighed(members: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
         .select("gram"),
         "often",
     )
-    shared = single.join(often, "gram").groupBy("class").agg(F.count("*").alias("shared"))
-    weights = members.groupBy("class").agg(F.count("*").alias("weight"))
-    counted = stored(weights.join(shared, "class"), "counted")
-    named = stored(members.join(counted, "class"), "weighed")
-    return _live(named, percent)
+    return single.join(often, "gram")
+
+
+def _mapped(members: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """Members with ``shared`` counted among themselves alone, and ``bits``, which of ``MAP_BITS``
+    bits these shingles fall on."""
+    left = stored(members.select("class").distinct(), "left")
+    place = F.col("gram").bitwiseAND(MAP_BITS - 1)
+    marked = _shared(parts.join(left, "class", "left_semi")).select(
+        "class",
+        F.floor(place / 64).cast("int").alias("slot"),
+        F.expr(f"shiftleft(1L, cast((gram & {MAP_BITS - 1}) % 64 as int))").alias("bit"),
+    )
+    longs = [
+        F.coalesce(F.bit_or(F.when(F.col("slot") == k, F.col("bit"))), F.lit(0).cast("long")).alias(f"b{k}")
+        for k in range(MAP_LONGS)
+    ]
+    counted = stored(marked.groupBy("class").agg(F.count("*").alias("shared"), *longs), "maps").select(
+        "class", "shared", F.struct(*[f"b{k}" for k in range(MAP_LONGS)]).alias("bits")
+    )
+    return _live(stored(members.drop("shared").join(counted, "class"), "mapped"), percent)
+
+
+def _both_at_most(x_shared, y_shared, x_bits, y_bits):
+    """No more shingles than this are in both of two sets, by their maps."""
+    lone = sum((F.bit_count(x_bits[f"b{k}"].bitwiseXOR(y_bits[f"b{k}"])) for k in range(MAP_LONGS)), F.lit(0))
+    return F.floor((x_shared + y_shared - lone) / 2)
 
 
 def _live(members: DataFrame, percent: int) -> DataFrame:
@@ -274,18 +310,25 @@ def _live(members: DataFrame, percent: int) -> DataFrame:
 
 
 def _candidates(members: DataFrame, tested: DataFrame, pivots: int, percent: int) -> DataFrame:
-    """New pairs (a, b) of pivots and members that are not connected yet."""
+    """New pairs (a, b) of pivots and members that are not connected yet. Two pivots meet once: the
+    one that comes first is the pivot of the pair."""
     first = Window.partitionBy("bucket").orderBy(F.desc("weight"), "class")
     chosen = stored(
         members.withColumn("place", F.row_number().over(first))
         .where(F.col("place") <= pivots)
-        .select("bucket", *(F.col(c).alias(f"p_{c}") for c in ("class", "n", "label", "shared"))),
+        .select("bucket", *(F.col(c).alias(f"p_{c}") for c in members.columns if c != "bucket")),
         "pivots",
     )
     size = F.least("n", "p_n") * 100 >= F.greatest("n", "p_n") * percent
     forward = F.col("class") < F.col("p_class")
-    able = _can_link(F.col("n"), F.least("shared", "p_shared"), F.col("p_n"), percent)
-    met = members.join(chosen, "bucket").where((F.col("label") != F.col("p_label")) & size & able)
+    common = F.least("shared", "p_shared")
+    if "bits" in members.columns:
+        common = F.least(common, _both_at_most(*(F.col(c) for c in ("shared", "p_shared", "bits", "p_bits"))))
+    able = _can_link(F.col("n"), common, F.col("p_n"), percent)
+    later = (F.col("weight") < F.col("p_weight")) | (
+        (F.col("weight") == F.col("p_weight")) & (F.col("class") > F.col("p_class"))
+    )
+    met = members.join(chosen, "bucket").where((F.col("label") != F.col("p_label")) & later & size & able)
     return (
         met.select(
             F.least("class", "p_class").alias("a"),
@@ -354,6 +397,8 @@ def near_duplicates(
             links = stored(links.unionByName(found), "links")
             labels = stored(components(links), "labels")
         members = _unfinished(members, labels, pivots, percent)
+        if pivots == 1:
+            members = _mapped(members, parts, percent)
         pivots *= 4
     named = classes.join(labels, F.col("class") == F.col("node"), "left").select(
         "class", "check", "class_id", F.coalesce("label", "class").alias("label")
