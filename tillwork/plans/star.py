@@ -9,7 +9,7 @@ from ..functions import measures as m
 from ..functions.retail_calendar import attach_calendar, day_of_key
 from ..operators import joins, rollups
 from ..operators.balances import Balance, not_negative, reconcile, total
-from ..operators.columns import up_to
+from ..operators.columns import packed, unpacked, up_to
 from ..operators.running import with_running_totals
 
 # The published columns of each table.
@@ -40,6 +40,11 @@ FACT_STORE_DAY = (
     "net_sales_sss", "unit_qty_sss", "ticket_count_sss", "sss_variation_pct",
 )
 STORE_DAY_BASE = FACT_STORE_DAY[:FACT_STORE_DAY.index("mtd_sales")]
+# What the windows of the store-day fact read; its other columns pass them packed.
+WINDOW_INPUT = (
+    "date_key", "date_value", "commerce_year", "commerce_month", "date_key_sss", "store_key",
+    "net_sales", "unit_qty", "ticket_count",
+)
 MONTH_CLOSE = ("net_sales_mc", "mc_variation_pct")
 FACT_INVENTORY = (
     "date_key", "store_key", "product_key", "sku", "on_hand_qty", "on_hand_cost",
@@ -97,8 +102,9 @@ def store_day_base(
     Tickets join first, on the keys the rollup is already partitioned by; stores
     join last, so a sort-merge join there leaves the partitioning by store that
     the windows need. Days are read from their keys once for each store and day, above the rollup.
+    The sums pass the joins packed, see ``packed``.
     """
-    days = rollups.store_day(up_to(sales, as_of), "_day")
+    days = packed(rollups.store_day(up_to(sales, as_of), "_day"), rollups.STORE_DAY_MEASURES, "_sums")
     tickets = ["ticket_count", "transaction_count", "traffic_estimate"]
     days = joins.join_dimension(
         days, up_to(kpi, as_of), ["date_key", "store_key"], tickets, "left"
@@ -111,7 +117,7 @@ def store_day_base(
     else:
         days = joins.join_calendar(days, calendar, STORE_DAY_CALENDAR)
     days = days.drop("_day")
-    return joins.join_dimension(days, stores, "store_key", ["chain_format", "open_m2"])
+    return unpacked(joins.join_dimension(days, stores, "store_key", ["chain_format", "open_m2"]), "_sums")
 
 
 def fact_store_day(
@@ -139,6 +145,7 @@ def with_store_day_measures(
     df: DataFrame, month_close: bool = False, self_join: bool = False
 ) -> DataFrame:
     """The fact's columns from its base: running totals, ratios, values of a year ago."""
+    df = packed(df, [c for c in df.columns if c not in WINDOW_INPUT], "_kept")
     if self_join:
         df = joins.year_ago_by_join(df, "store_key", "date_key", "date_key_sss", SSS_VALUES)
     else:
@@ -150,7 +157,7 @@ def with_store_day_measures(
     df = with_running_totals(
         df, "net_sales", "store_key", "commerce_year", "commerce_month", "date_key"
     )
-    df = df.withColumns(
+    df = unpacked(df, "_kept").withColumns(
         {
             "discount_rate": m.discount_rate("discount_amount", "gross_sales"),
             "avg_basket": m.avg_basket("net_sales", "ticket_count"),
