@@ -24,7 +24,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import fresh_dir, remove
 from .upsert import add_columns, completed
 
 KEY, TAKEN = "_key", "_taken"
@@ -62,15 +61,18 @@ class DeltaTable:
         keys: Sequence[str],
         versions: Sequence[str] = (),
         buckets: int = BUCKETS,
+        unique: bool = False,
     ) -> DeltaTable:
-        """A new table with the rows of ``df``, the newest for each key."""
+        """A new table with the rows of ``df``, the newest for each key. ``unique`` says that there
+        is one row per key."""
         rows = df.withColumn(TAKEN, F.lit(0).cast("long")).withColumn(KEY, key_text(keys))
-        _put(df.sparkSession, rows, name, keys, versions, buckets)
+        _put(df.sparkSession, rows, name, keys, versions, buckets, unique)
         return cls(df.sparkSession, name)
 
-    def take(self, batch: DataFrame) -> None:
+    def take(self, batch: DataFrame, unique: bool = False) -> None:
         """Append a batch. Nothing but the batch is written; a batch with all columns reads
-        nothing but the number of the last one."""
+        nothing but the number of the last one. One that is ``unique``, one row per key, is written
+        as it lies, without a shuffle."""
         known = self.spark.table(self.name)
         if set(known.columns) - set(batch.columns) or dict(batch.dtypes) != dict(known.dtypes):
             batch = completed(known, batch, self.keys)
@@ -78,8 +80,8 @@ class DeltaTable:
         rows = batch.withColumn(TAKEN, F.lit(last + 1).cast("long")).withColumn(KEY, key_text(self.keys))
         add_columns(self.spark, self.deltas, rows)
         columns = self.spark.table(self.deltas).columns
-        newest = _newest(rows, self.versions)
-        newest.select(*columns).sortWithinPartitions(KEY).write.mode("append").insertInto(self.deltas)
+        newest = rows if unique else _newest(rows, self.versions).sortWithinPartitions(KEY)
+        newest.select(*columns).write.mode("append").insertInto(self.deltas)
         self.spark.catalog.refreshTable(self.deltas)
         if set(batch.columns) - set(known.columns):
             _point(self.spark, self.name, self.base, self.deltas, self.keys, self.versions, self.buckets)
@@ -161,18 +163,14 @@ def _put(
     buckets: int,
     unique: bool = False,
 ) -> None:
-    """Write ``rows`` as a new base with empty deltas and let the view show them."""
+    """Write ``rows`` as a new base with empty deltas and let the view show them. The new tables
+    have names of their own, so that the rows may come from the ones that they replace."""
     mark = uuid.uuid4().hex[:12]
     base, deltas = f"{name}_base_{mark}", f"{name}_deltas_{mark}"
     kept = rows if unique else _newest(rows, versions)
-    staged = fresh_dir(spark, "base")
-    # Staged, as the rows may come from the tables that this one replaces.
-    kept.write.parquet(staged)
-    copy = spark.read.schema(kept.schema).parquet(staged)
-    copy.repartition(buckets, KEY).write.bucketBy(buckets, KEY).sortBy(KEY).format("parquet").saveAsTable(base)
-    copy.where("false").write.format("parquet").saveAsTable(deltas)
+    kept.repartition(buckets, KEY).write.bucketBy(buckets, KEY).sortBy(KEY).format("parquet").saveAsTable(base)
+    spark.createDataFrame([], kept.schema).write.format("parquet").saveAsTable(deltas)
     _point(spark, name, base, deltas, keys, versions, buckets)
-    remove(spark, staged)
 
 
 def _point(spark, name: str, base: str, deltas: str, keys, versions, buckets: int) -> None:

@@ -149,15 +149,16 @@ def drain_rollup(
     """Keep the sums of a stream's groups in a table that is merged when it is read.
 
     The totals so far are the query's state, one row for each group; a micro-batch updates those
-    it touches, and writes these alone. A replayed micro-batch writes the same totals again.
+    it touches, and writes these alone, one row for each group. A replayed micro-batch writes the
+    same totals again.
     """
     totals = stream.groupBy(*by).agg(*(F.sum(c).alias(c) for c in sums))
 
     def take(changed: DataFrame, _: int) -> None:
         if table_exists(changed.sparkSession, table):
-            DeltaTable(changed.sparkSession, table).take(changed)
+            DeltaTable(changed.sparkSession, table).take(changed, unique=True)
         else:
-            DeltaTable.create(changed, table, by)
+            DeltaTable.create(changed, table, by, unique=True)
 
     return _drained(totals, take, checkpoint, table, mode="update")
 
