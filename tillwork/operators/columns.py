@@ -33,20 +33,6 @@ def apply_rules(df: DataFrame, rules: Mapping[str, Rule]) -> DataFrame:
     return df.withColumns({c: rule(c) for c, rule in rules.items()})
 
 
-def packed(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
-    """Columns that are only carried along as one struct, at the place of the first of them: joins,
-    sorts and windows copy it as it is, where they would read and write each column, which is slow
-    for decimals of more than 18 digits."""
-    held = F.struct(*columns).alias(name)
-    picks = [held if c == columns[0] else F.col(c) for c in df.columns if c == columns[0] or c not in columns]
-    return df.select(*picks)
-
-
-def unpacked(df: DataFrame, name: str) -> DataFrame:
-    """The columns of a struct in its place."""
-    return df.select(*[f"{c}.*" if c == name else c for c in df.columns])
-
-
 def drop_lineage(df: DataFrame) -> DataFrame:
     return df.drop(*LINEAGE_COLUMNS)
 
