@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from tillwork.operators.columns import LINEAGE_COLUMNS
 from tillwork.operators.upsert import upsert_table
-from tillwork.plans import entities
+from tillwork.plans import entities, increments
 from tillwork.sources import feeds
 
 SALES = entities.DAILY_SALES
@@ -48,3 +48,17 @@ def test_versions_of_upserts_are_stored_with_zstd(spark, schema):
     for batch in (spark.range(5), spark.range(3, 9)):
         upsert_table(spark, batch, f"{schema}.numbers", ["id"])
         assert all(".zstd." in f for f in spark.table(f"{schema}.numbers").inputFiles())
+
+
+def test_a_load_lands_without_a_shuffle(spark, schema, tmp_path, monkeypatch):
+    for k in range(3):
+        (tmp_path / f"{k}.csv").write_text(f"k,v\n{k},a\n")
+    feed = feeds.Feed("tills", str(tmp_path), "k int, v string", False, True, options=feeds.BY_LINE)
+
+    def refused(self, name, *columns):
+        raise AssertionError(name)
+
+    monkeypatch.setattr(type(spark.range(1)), "hint", refused)
+    load = increments.land(spark, "", feed, schema)
+    table = spark.table(f"{schema}.brz_tills")
+    assert sorted(r.k for r in table.where(F.col("_load_id") == load).collect()) == [0, 1, 2]

@@ -75,7 +75,9 @@ def land(spark: SparkSession, root: str, feed: Feed, schema_name: str, at: dt.da
             number += 1
             load = f"{wanted}-{number}"
     path = source_path(root, feed.path, feed.directory)
-    append_rows(with_lineage(read_raw(spark, path, feed.fmt, feed.schema, feed.options), load), table, [LOAD])
+    # A load is one partition. Spark reads small files many to a task, so that they do not stay many.
+    rows = with_lineage(read_raw(spark, path, feed.fmt, feed.schema, feed.options), load)
+    append_rows(rows, table, [LOAD], gather=False)
     return load
 
 
