@@ -1,6 +1,10 @@
+import gzip
+
+import pytest
 from helpers import plan
 from pyspark.sql import functions as F
 
+from parity.queries import write_csv
 from tillwork.operators.columns import LINEAGE_COLUMNS
 from tillwork.operators.upsert import upsert_table
 from tillwork.plans import entities, increments
@@ -62,3 +66,13 @@ def test_a_load_lands_without_a_shuffle(spark, schema, tmp_path, monkeypatch):
     load = increments.land(spark, "", feed, schema)
     table = spark.table(f"{schema}.brz_tills")
     assert sorted(r.k for r in table.where(F.col("_load_id") == load).collect()) == [0, 1, 2]
+
+
+@pytest.mark.parametrize("rows", [20_000])
+def test_feeds_are_packed_fast(spark, tmp_path, rows):
+    df = spark.range(0, rows, 1, 1).select("id", (F.col("id") * 7919 % 10007).alias("v"), F.lit("till").alias("t"))
+    (file,) = (tmp_path / "x").glob("*.gz") if write_csv(df, str(tmp_path / "x")) else ()
+    text, size = gzip.decompress(file.read_bytes()), file.stat().st_size
+    assert text.count(b"\n") == rows + 1
+    fast, default = (len(gzip.compress(text, level)) for level in (1, 6))
+    assert abs(size - fast) < abs(size - default)
