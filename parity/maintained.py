@@ -254,7 +254,8 @@ def _(spark, d):
     late = odd & F.col("date_key").between(19960401, 19960531) & (F.col("product_key") % 2 == 0)
     twice = odd & F.col("date_key").between(19970215, 19970310) & (F.col("product_key") % 5 == 0)
     first = sales.where(~late).unionByName(sales.where(twice))
-    fact = star.fact_store_day(first, stores, tickets, month_close=True)
-    store_days.write_store_days(fact, table, buckets=store_days.buckets_for(sales))
+    buckets = store_days.buckets_for(sales, dealt=True)
+    fact = star.fact_store_day(first, stores, tickets, month_close=True, buckets=buckets)
+    store_days.write_store_days(fact, table, buckets=buckets, dealt=True)
     store_days.correct_store_days(spark, table, sales.where(late | twice), sales, stores, tickets)
     return spark.table(table)

@@ -1,8 +1,9 @@
 import datetime as dt
+import re
 from decimal import Decimal as Dec
 
 import pytest
-from helpers import plan, rows
+from helpers import plan, rows, shuffles_held
 from pyspark.sql import functions as F
 
 from tillwork.operators import joins
@@ -167,3 +168,43 @@ def test_buckets_follow_the_store_days(spark, schema, sides, monkeypatch):
     assert rows(store_days.fact_of_stored(spark.table(table)), "date_key", "store_key") == rows(
         star.fact_store_day(twice, *sides), "date_key", "store_key"
     )
+
+
+def test_a_dealt_fact_moves_to_its_stores_once(spark, schema, sides):
+    known = sales_of(spark, listed(every(5)))
+    fact = star.fact_store_day(known, *sides, month_close=True, buckets=4)
+    # The fact and the stores, in as many partitions as the table has buckets.
+    assert re.findall(r"Exchange hashpartitioning\(store_key#\d+L, (\d+)\)", plan(fact)) == ["4", "4"]
+    before = shuffles_held(spark)
+    table = store_days.write_store_days(fact, f"{schema}.dealt", buckets=4, dealt=True)
+    # Neither the write nor what it read leaves a shuffle behind.
+    assert shuffles_held(spark) == before
+    assert all(len(files) <= len(STORES) for files in files_of(spark.table(table)).values())
+    want = star.fact_store_day(known, *sides, month_close=True)
+    got = spark.table(table).select(*want.columns)
+    assert rows(got, "store_key", "date_key") == rows(want, "store_key", "date_key")
+    assert all(".zstd." in f for f in spark.table(table).inputFiles())
+
+
+def test_a_correction_leaves_no_shuffle_of_its_writes(spark, schema, sides):
+    known = every(5)
+    table = f"{schema}.tidy"
+    store_days.write_store_days(star.fact_store_day(sales_of(spark, listed(known)), *sides), table, buckets=2)
+    day = next(d for d, s in known if s == 1 and d // 100 == 202306)
+    known[day, 1] = 12345
+    sales = sales_of(spark, listed(known))
+    changed = sales.where((F.col("date_key") == day) & (F.col("store_key") == 1))
+    kept = []
+    insert = type(sales.write).insertInto
+
+    def counted(self, *args, **more):
+        held = shuffles_held(spark)
+        insert(self, *args, **more)
+        kept.append(shuffles_held(spark) - held)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(type(sales.write), "insertInto", counted)
+        store_days.correct_store_days(spark, table, changed, sales, *sides)
+    assert kept == [0]
+    want = star.fact_store_day(sales, *sides)
+    assert rows(spark.table(table).select(*want.columns), "store_key", "date_key") == rows(want, "store_key", "date_key")

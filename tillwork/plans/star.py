@@ -86,6 +86,7 @@ def store_day_base(
     kpi: DataFrame,
     calendar: DataFrame | None = None,
     as_of: str | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Sales per day and store with calendar, store and ticket attributes.
 
@@ -97,12 +98,17 @@ def store_day_base(
     Tickets join first, on the keys the rollup is already partitioned by; stores
     join last, so a sort-merge join there leaves the partitioning by store that
     the windows need. Days are read from their keys once for each store and day, above the rollup.
+
+    With ``buckets`` the store days move to that many partitions of stores before calendar and stores
+    join, which is where windows and a table of as many buckets want them, and move no more.
     """
     days = rollups.store_day(up_to(sales, as_of), "_day")
     tickets = ["ticket_count", "transaction_count", "traffic_estimate"]
     days = joins.join_dimension(
         days, up_to(kpi, as_of), ["date_key", "store_key"], tickets, "left"
     )
+    if buckets:
+        days = days.repartition(buckets, "store_key")
     if calendar is None:
         dated = days.withColumn("date_value", day_of_key("_day"))
         days = attach_calendar(
@@ -122,16 +128,18 @@ def fact_store_day(
     as_of: str | None = None,
     month_close: bool = False,
     self_join: bool = False,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Store-day fact: running totals, ratios and the same day a year ago.
 
     The year-ago values come from a range frame over each store's days, which
     shares its exchange with the running totals; ``self_join`` takes them by a
     join of keys instead. Both see only days that survive ``as_of`` and the
-    inner joins. ``month_close`` adds the same calendar date a year ago.
+    inner joins. ``month_close`` adds the same calendar date a year ago. ``buckets`` is as in
+    ``store_day_base``, for a fact that is written in buckets.
     """
     return with_store_day_measures(
-        store_day_base(sales, stores, kpi, calendar, as_of), month_close, self_join
+        store_day_base(sales, stores, kpi, calendar, as_of, buckets), month_close, self_join
     )
 
 

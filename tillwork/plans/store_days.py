@@ -21,7 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.retail_calendar import SAME_WEEKDAY_LAG, attach_calendar, day_of_key
-from ..session import fresh_dir, remove
+from ..operators.upsert import STORED
+from ..session import fresh_dir, remove, shuffles_dropped
 from . import star
 
 STORE, DAY = "store_key", "date_key"
@@ -31,32 +32,38 @@ BUCKETS = 16
 YEARS_BACK = 2
 # A task reads a whole bucket and sorts it for several windows, at about 1.2 KB a store day.
 ROWS_PER_BUCKET = 500_000
+# The task that writes a dealt fact holds its rows for the windows and sorts them for the files as
+# well, at about 1.8 KB a store day.
+ROWS_PER_DEALT_BUCKET = 350_000
 LEAST_BUCKETS = 4
 
 
-def buckets_for(sales: DataFrame) -> int:
+def buckets_for(sales: DataFrame, dealt: bool = False) -> int:
     """Buckets for the store days of ``sales``, of about ``ROWS_PER_BUCKET`` each, so that a task
-    stays as large as it is however many stores there are.
+    stays as large as it is however many stores there are; ``dealt`` as in ``write_store_days``.
 
     The store days are estimated within 5 % by one pass over the two key columns, without a
     shuffle. A stored table keeps its buckets; one that has grown many times is written anew.
     """
     store_days = F.approx_count_distinct(F.xxhash64(DAY, STORE)).alias("n")
     rows = sales.agg(store_days).first()["n"]
-    return max(LEAST_BUCKETS, -(-rows // ROWS_PER_BUCKET))
+    return max(LEAST_BUCKETS, -(-rows // (ROWS_PER_DEALT_BUCKET if dealt else ROWS_PER_BUCKET)))
 
 
-def write_store_days(df: DataFrame, table: str, buckets: int = BUCKETS) -> str:
+def write_store_days(df: DataFrame, table: str, buckets: int = BUCKETS, dealt: bool = False) -> str:
     """The table becomes the rows of a store-day fact or of its base, bucketed by store.
 
     A store has one row a day, so that no bucket is hot; rows are dealt as the buckets are, which
     gives each period one file a bucket. ``buckets`` should follow the number of store days, see
-    ``buckets_for``.
+    ``buckets_for``. ``dealt`` says that the frame was built with as many ``buckets`` (see
+    ``star.fact_store_day``), and saves moving its finished rows, which are the widest.
     """
-    writer = _dealt(df, buckets).write.format("parquet").mode("overwrite")
+    rows = df if dealt else _dealt(df, buckets)
+    writer = rows.write.format("parquet").options(**STORED).mode("overwrite")
     # Kept with the table, so that later writes replace single partitions in any session.
     writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(YEAR, PERIOD)
-    writer.bucketBy(buckets, STORE).sortBy(STORE, DAY).saveAsTable(table)
+    with shuffles_dropped(df.sparkSession):
+        writer.bucketBy(buckets, STORE).sortBy(STORE, DAY).saveAsTable(table)
     return table
 
 
@@ -118,11 +125,14 @@ def correct_store_days(
     corrected = fact_of_stored(other_days.unionByName(again), month_close).where(reached)
     other_stores = held.where(reached).join(own, STORE, "left_anti")
     before = _places(held.where(reached))
-    other_stores.unionByName(corrected).select(*held.columns).write.parquet(staged)
+    state = other_stores.unionByName(corrected).select(*held.columns)
+    with shuffles_dropped(spark):
+        state.write.options(**STORED).parquet(staged)
 
     state = spark.read.schema(held.schema).parquet(staged)
     after = _places(state)
-    _dealt(state, buckets_of(spark, table)).write.mode("overwrite").insertInto(table)
+    with shuffles_dropped(spark):
+        _dealt(state, buckets_of(spark, table)).write.mode("overwrite").insertInto(table)
     _drop_places(spark, table, before - after)
     spark.catalog.refreshTable(table)
     remove(spark, staged)

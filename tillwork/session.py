@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import SparkSession
@@ -56,6 +58,28 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+# Fixed value: Spark's switch for dropping an execution's shuffle files when it ends.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Executions that start inside leave no shuffle files when they end.
+
+    Otherwise these stay until the driver's memory is collected, so that those of all steps of a
+    long job lie on disk together. Meant for writes, whose shuffles nothing reads again.
+    """
+    before = spark.conf.get(DROP_SHUFFLES, None)
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(DROP_SHUFFLES)
+        else:
+            spark.conf.set(DROP_SHUFFLES, before)
+
+
 def _folder(spark: SparkSession, path: str):
     """Spark's view of a folder, on whatever store it lies."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
