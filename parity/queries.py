@@ -16,7 +16,7 @@ from tillwork.operators.calendar import commerce_calendar
 from tillwork.operators.columns import at_latest, cast_keys, cast_money, keys_first, up_to
 from tillwork.operators.upsert import merged, upsert_partitions, upsert_table
 from tillwork.plans import dashboards, declared, entities, layers, star
-from tillwork.session import fresh_dir
+from tillwork.session import fresh_dir, remove, shuffles_dropped
 from tillwork.sources import feeds, raw, sinks
 from tillwork.streaming import intake
 
@@ -1304,7 +1304,7 @@ FEED_ROLES = {
     "stores_master": r.stores,
     "products_master": r.products,
     "calendar_445": r.calendar,
-    "sales_daily_store_sku": r.daily_sales,
+    "sales_daily_store_sku": r.dealt_daily_sales,
     "pos_line_items": lambda s, d: r.lines(s, d).selectExpr(
         "* except (is_promo, return_flag)",
         "case when return_flag = 'A' then 'card' else 'cash' end payment_type",
@@ -1324,17 +1324,28 @@ def landed_feeds(spark, d) -> tuple[str, tuple[feeds.Feed, ...]]:
     """
     root = fresh_dir(spark, "feeds")
     for feed in feeds.FEEDS:
-        columns = [f.name for f in spark.createDataFrame([], feed.schema).schema]
-        write_csv(FEED_ROLES[feed.table](spark, d).select(*columns), f"{root}/{feed.path}")
+        deliver(spark, d, root, feed)
     return root, feeds.FEEDS
 
 
+def deliver(spark, d, root: str, feed: feeds.Feed) -> None:
+    columns = [f.name for f in spark.createDataFrame([], feed.schema).schema]
+    with shuffles_dropped(spark):
+        write_csv(FEED_ROLES[feed.table](spark, d).select(*columns), f"{root}/{feed.path}")
+
+
 def load_layers(spark, d, label: str) -> layers.Layers:
-    root, listed = landed_feeds(spark, d)
+    """Each feed is delivered and loaded before the next one, and its files go once they are loaded,
+    so that they do not all lie on disk beside the tables."""
+    root = fresh_dir(spark, "feeds")
     names = layers.Layers(*[own_schema(spark, f"{label}-{x}") for x in ("raw", "ref", "star")])
-    raw.load_all(spark, root, names.landing, listed)
-    # A daily feed delivered twice leaves copies that refining removes.
-    raw.load_feed(spark, root, listed[3], names.landing)
+    for feed in feeds.FEEDS:
+        deliver(spark, d, root, feed)
+        raw.load_all(spark, root, names.landing, (feed,))
+        if feed is feeds.FEEDS[3]:
+            # A daily feed delivered twice leaves copies that refining removes.
+            raw.load_feed(spark, root, feed, names.landing)
+        remove(spark, f"{root}/{feed.path}")
     return names
 
 

@@ -174,8 +174,14 @@ def daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollups.daily_sales(lines(spark, sf_dir))
 
 
-def store_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _visited(rollups.store_day_tickets(lines(spark, sf_dir)))
+def dealt_daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows. These lines are almost one for each day, store and article, and a line is
+    narrower than the sums it begins, so that lines move instead of sums."""
+    return rollups.daily_sales(lines(spark, sf_dir).repartition("store_key", "product_key"))
+
+
+def store_tickets(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
+    return _visited(rollups.store_day_tickets(lines(spark, sf_dir), dealt))
 
 
 def sold_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,14 +195,15 @@ def _visited(tickets: DataFrame) -> DataFrame:
 
 
 def store_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollups.store_day_kpi(store_tickets(spark, sf_dir), stores(spark, sf_dir))
+    return rollups.store_day_kpi(store_tickets(spark, sf_dir, dealt=True), stores(spark, sf_dir))
 
 
-def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Units sold, taken back and adjusted per day, store and article."""
+def flows(spark: SparkSession, sf_dir: str, dealt: tuple[str, ...] = ()) -> DataFrame:
+    """Units sold, taken back and adjusted per day, store and article. Lines move once, by the
+    columns ``dealt``, if later steps can use that."""
+    keyed = lines(spark, sf_dir).withColumn("date_key", date_key("txn_date"))
     moved = (
-        lines(spark, sf_dir)
-        .withColumn("date_key", date_key("txn_date"))
+        (keyed.repartition(*dealt) if dealt else keyed)
         .groupBy("date_key", "store_key", "product_key", "sku")
         .agg(
             F.expr("sum(case when return_flag <> 'R' then unit_qty end)").alias("sold_qty"),
@@ -216,8 +223,10 @@ def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     opening = F.expr("(store_key * 7 + product_key * 3) % 31")
     flow = F.expr("received_qty - coalesce(sold_qty, 0) + adjusted_qty")
+    # The rollup, the balance and a join with many articles all work where an article's lines are.
+    moved = flows(spark, sf_dir, dealt=("product_key",))
     ledger = clamped_balance(
-        flows(spark, sf_dir), ["store_key", "product_key"], "date_key", flow, opening, "on_hand_qty"
+        moved, ["store_key", "product_key"], "date_key", flow, opening, "on_hand_qty"
     )
     priced = joins.join_dimension(
         ledger, products(spark, sf_dir), "product_key", ["unit_cost", "retail_price"]
@@ -235,8 +244,9 @@ def budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     dated = attach_calendar(
         lines(spark, sf_dir), "txn_date", ("commerce_year", "commerce_month")
     )
+    # Dealt by article, the totals meet a large table of articles where they are.
     by_article = rollups.totals(
-        dated,
+        dated.repartition("product_key"),
         ["commerce_year", "commerce_month", "store_key", "product_key"],
         {"net_amount": "net", "unit_qty": "qty"},
     )

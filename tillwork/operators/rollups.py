@@ -70,13 +70,17 @@ def daily_sales(lines: DataFrame) -> DataFrame:
     return rolled.withColumn("ticket_count", F.col("line_count"))
 
 
-def store_day_tickets(lines: DataFrame) -> DataFrame:
+def store_day_tickets(lines: DataFrame, dealt: bool = False) -> DataFrame:
     """Till lines to tickets and sales per day and store.
 
     The distinct count shuffles by (day, store, ticket) first, so a store with a
-    third of all lines is spread over its tickets.
+    third of all lines is spread over its tickets. With ``dealt`` lines move once, by day and store,
+    where both counts are taken: for tickets of few lines, of which nothing is saved by adding
+    them up before the shuffle. A hot store is spread over its days.
     """
     keyed = lines.withColumn("date_key", date_key("txn_date"))
+    if dealt:
+        keyed = keyed.repartition("date_key", "store_key")
     rolled = keyed.groupBy("date_key", "store_key").agg(
         F.count_distinct("txn_id").alias("ticket_count"),
         narrow_sum(lines, "gross_amount").alias("gross_sales"),
