@@ -12,6 +12,7 @@ from parity import queries, roles
 from tillwork.operators import rollups
 from tillwork.session import DROP_SHUFFLES, shuffles_dropped, subfolders
 from tillwork.sources import feeds
+from tillwork.streaming import runs
 
 LINES = """txn_id string, txn_date date, store_key bigint, product_key bigint, sku string, unit_qty int,
     gross_amount decimal(18,4), net_amount decimal(18,4), discount_amount decimal(18,4),
@@ -119,3 +120,12 @@ def test_shuffles_of_writes_are_dropped(spark, tmp_path):
     with pytest.raises(ZeroDivisionError), shuffles_dropped(spark):
         1 / 0  # noqa: B018
     assert spark.conf.get(DROP_SHUFFLES, None) == mode
+
+
+def test_streams_of_a_run_store_zstd(spark, schema, tmp_path):
+    (tmp_path / "tills").mkdir()
+    (tmp_path / "tills" / "1.csv").write_text("k,v\n1,a\n2,b\n")
+    daily = feeds.Feed("packed", "tills", "k int, v string", False, True)
+    runs.take_feeds(spark, str(tmp_path), schema, str(tmp_path / "state"), (daily,))
+    table = spark.table(f"{schema}.brz_packed")
+    assert table.count() == 2 and all(".zstd." in f for f in table.inputFiles())

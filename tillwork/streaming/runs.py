@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..sources.feeds import FEEDS, Feed, landing_table
 from ..sources.raw import load_feed
+from ..sources.sinks import STORED
 from .intake import feed_stream
 
 
@@ -64,6 +65,7 @@ def take_feeds(
                 feed_stream(spark, root, feed, max_files)
                 .writeStream.outputMode("append")
                 .format("parquet")
+                .options(**STORED)
                 .queryName(feed.table)
                 .option("checkpointLocation", f"{checkpoints.rstrip('/')}/{feed.table}")
                 .trigger(availableNow=True)
